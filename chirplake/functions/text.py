@@ -16,10 +16,10 @@ WEEKDAY_WIDTH = len("Mon ")
 NOT_TOKEN = r"[^@\w]"
 HANDLE = r"@\w+"
 MENTION_TOKEN = r"^@\w"
-HAS_MENTION = r"(^|[^@\w])@\w"
 # The look-behind comes after the literal @, so the matcher leaps from @ to @
 # instead of testing it at each character.
-MENTION = r"@(?<![@\w]@)\w[@\w]*"
+MENTION_START = r"@(?<![@\w]@)\w"
+MENTION = MENTION_START + r"[@\w]*"
 
 
 def parse_post_date(date: Column) -> Column:
@@ -54,7 +54,7 @@ def mentions(text: Column) -> Column:
 
 
 def has_mention(text: Column) -> Column:
-    return text.rlike(HAS_MENTION)
+    return text.rlike(MENTION_START)
 
 
 def has_at_sign(text: Column) -> Column:

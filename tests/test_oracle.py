@@ -43,7 +43,7 @@ def test_query(name, spark, sf_dir, duck):
     if name not in SQL:
         assert result.count() > 0
         return
-    expected = duck.execute(SQL[name]).to_arrow_table()
+    expected = duck.sql(SQL[name]).to_arrow_table()
     actual = result.toArrow()
     assert sorted(actual.column_names) == sorted(expected.column_names)
     for column in expected.schema:
