@@ -85,13 +85,18 @@ def load_lexicon_model() -> Model:
 
 
 def model_scorer(load_model: Callable[[], Model]) -> Scorer:
-    """Apply a Python model batch by batch; ``load_model`` runs once per worker."""
+    """Apply a Python model batch by batch; ``load_model`` runs once per worker.
+
+    Equal texts of a batch are scored once: the mentions of one post share their
+    text, and a text that is posted over and over costs little.
+    """
 
     @F.pandas_udf(PREDICTION)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load_model()
         for texts in batches:
-            yield model(texts)
+            positions, distinct = pd.factorize(texts, use_na_sentinel=False)
+            yield model(pd.Series(distinct)).iloc[positions].reset_index(drop=True)
 
     return lambda df, text: df.withColumn(PREDICTED, predict(F.col(text)))
 

@@ -56,14 +56,18 @@ def application_partials(gold: DataFrame) -> DataFrame:
     return gold.groupBy("mention").agg(*_time_range(), *_label_counts())
 
 
-def fold_partials(partials: DataFrame) -> DataFrame:
-    """The application table from the partials of all parts."""
-    folded = partials.groupBy("mention").agg(
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Partials of several parts as those of one."""
+    return partials.groupBy("mention").agg(
         F.min("min_timestamp").alias("min_timestamp"),
         F.max("max_timestamp").alias("max_timestamp"),
         *[F.sum(name).alias(name) for name in COUNTS],
     )
-    return ranked(folded.withColumn("total", _total()))
+
+
+def fold_partials(partials: DataFrame) -> DataFrame:
+    """The application table from the partials of all parts."""
+    return ranked(merge_partials(partials).withColumn("total", _total()))
 
 
 def application_table(gold: DataFrame) -> DataFrame:

@@ -407,11 +407,7 @@ def table_streamed_directly(spark, sf_dir):
     """The events table itself as a stream, appended to a table of its own."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     layout = Layout(new_run_folder(spark, "events"))
-    stream = (
-        spark.readStream.schema(events)
-        .options(**Settings().rate_options(), pathGlobFilter="events.parquet")
-        .parquet(sf_dir)
-    )
+    stream = tables.stream_table(spark, f"{sf_dir}/events*.parquet", events, Settings())
     drain(append_stream(stream, layout.table("events"), layout.checkpoint("events"), "events_stream"))
     return tables.read_table(spark, layout.table("events"), events)
 

@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from chirplake.settings import new_run_folder
 
-# The texts a post is made of.
+# The shapes of a post's text, and what fills {w}. {k} and {j} are handles.
+SHAPES = (
+    "{w}",
+    "@{k} {w}",
+    "{w} @{k}",
+    "@{k} @{j} {w}",
+    "mail {k}@example.com {w}",
+    "@{k}@{j} {w}",
+    "@@{k} {w}",
+    "(@{k}), {w}!",
+    "a @ b {w}",
+    "@{k} @{k} {w}",
+    None,
+    "@José {w}",
+)
 WORDS = ("love it", "great day", "so so", "hate it", "awful news")
 ROWS_PER_FILE = 1_000_000
 FEWEST_FILES = 12
@@ -36,28 +50,21 @@ def _date() -> Column:
     return F.when(event % 101 == 0, None).when(event % 103 == 0, "not a date").otherwise(text)
 
 
+def _pick(choices: tuple[str | None, ...], number: Column) -> Column:
+    """The choice at ``number`` modulo their count."""
+    position = (number % len(choices) + 1).cast("int")
+    return F.element_at(F.array(*map(F.lit, choices)), position)
+
+
 def _text() -> Column:
-    kind = F.col("event_id") % 12
-    k = F.concat(F.lit("h"), F.col("user_id") % 23)
-    j = F.concat(F.lit("h"), F.col("event_id") % 7)
-    w = F.element_at(F.array(*map(F.lit, WORDS)), (F.col("event_id") % 5 + 1).cast("int"))
-    shapes = [
-        w,
-        F.concat(F.lit("@"), k, F.lit(" "), w),
-        F.concat(w, F.lit(" @"), k),
-        F.concat(F.lit("@"), k, F.lit(" @"), j, F.lit(" "), w),
-        F.concat(F.lit("mail "), k, F.lit("@example.com "), w),
-        F.concat(F.lit("@"), k, F.lit("@"), j, F.lit(" "), w),
-        F.concat(F.lit("@@"), k, F.lit(" "), w),
-        F.concat(F.lit("(@"), k, F.lit("), "), w, F.lit("!")),
-        F.concat(F.lit("a @ b "), w),
-        F.concat(F.lit("@"), k, F.lit(" @"), k, F.lit(" "), w),
-        F.lit(None).cast("string"),
-        F.concat(F.lit("@José "), w),
-    ]
-    text = F.when(kind == 0, shapes[0])
-    for i, shape in enumerate(shapes[1:], start=1):
-        text = text.when(kind == i, shape)
+    fill = {
+        "{k}": F.concat(F.lit("h"), F.col("user_id") % 23),
+        "{j}": F.concat(F.lit("h"), F.col("event_id") % 7),
+        "{w}": _pick(WORDS, F.col("event_id")),
+    }
+    text = _pick(SHAPES, F.col("event_id"))
+    for slot, value in fill.items():
+        text = F.replace(text, F.lit(slot), value)
     return text
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chirplake.functions.scoring import load_lexicon_model, model_scorer
 from chirplake.plans.posts import land_all
 from chirplake.schemas import BRONZE, GOLD, SILVER, STREAM_PROGRESS
-from chirplake.settings import Settings, new_run_folder
+from chirplake.settings import Settings, configure, new_run_folder
 from chirplake.sources.tables import read_table
 from chirplake.streaming.monitor import ProgressLog
 from chirplake.streaming.stages import (
@@ -41,11 +41,19 @@ class StreamedPosts:
 
     @cached_property
     def settings(self) -> Settings:
-        """Triggers of five twelfths of the files, and scoring spread over all cores."""
-        return Settings(
-            files_per_trigger=math.ceil(self._landed[1] * 5 / 12),
-            scoring_partitions=self.spark.sparkContext.defaultParallelism,
+        """Triggers of five twelfths of the files.
+
+        Rows are spread before scoring only while a trigger has fewer files than
+        there are cores; beyond that the scan keeps all cores busy without a shuffle.
+        """
+        files, cores = self._landed[1], self.spark.sparkContext.defaultParallelism
+        per_trigger = math.ceil(files * 5 / 12)
+        settings = Settings(
+            files_per_trigger=per_trigger,
+            scoring_partitions=cores if per_trigger < cores else None,
         )
+        configure(self.spark, settings)
+        return settings
 
     @property
     def _progress_path(self) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,16 +31,24 @@ def stream_table(
     return spark.readStream.schema(schema).options(**settings.rate_options()).parquet(path)
 
 
-def newest_batch(spark: SparkSession, checkpoint: str) -> int:
-    """The last batch a stream has committed, the version of its table; -1 if none."""
+def load_or_none(reader: DataFrameReader, path: str) -> DataFrame | None:
+    """What lies at a path, or None if nothing does."""
     try:
-        commits = spark.read.format("binaryFile").load(f"{checkpoint}/commits").select("path")
+        return reader.load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return None
+
+
+def newest_batch(spark: SparkSession, checkpoint: str) -> int:
+    """The last batch a stream has committed, the version of its table; -1 if none."""
+    commits = load_or_none(spark.read.format("binaryFile"), f"{checkpoint}/commits")
+    if commits is None:
         return -1
     number = F.regexp_extract("path", r"/(\d+)$", 1)
-    newest = commits.filter(number != "").agg(F.max(number.cast("bigint"))).first()[0]
+    numbers = commits.select(number.alias("batch")).filter("batch <> ''")
+    newest = numbers.agg(F.max(F.col("batch").cast("bigint"))).first()[0]
     return -1 if newest is None else newest
 
 

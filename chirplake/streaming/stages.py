@@ -8,6 +8,7 @@ is new and nothing twice.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,12 +17,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from chirplake.functions.scoring import Scorer, lexicon_scorer
-from chirplake.operators.application import application_partials, fold_partials
+from chirplake.operators.application import application_partials, fold_partials, merge_partials
 from chirplake.operators.layers import to_bronze, to_gold, to_silver
 from chirplake.schemas import BRONZE, GOLD, RAW, SILVER, enforce
 from chirplake.settings import Settings
 from chirplake.sources.raw import raw_stream
-from chirplake.sources.tables import newest_batch, stream_table
+from chirplake.sources.tables import load_or_none, newest_batch, stream_table
 
 
 @dataclass(frozen=True)
@@ -98,11 +99,43 @@ def application_stream(spark: SparkSession, layout: Layout, settings: Settings)
     )
 
 
+def _newest_fold(spark: SparkSession, layout: Layout) -> tuple[int, str | None]:
+    folds = load_or_none(spark.read.format("parquet"), layout.table("application_folds"))
+    if folds is None:
+        return -1, None
+    newest = folds.orderBy(F.desc("upto")).first()
+    return newest.upto, newest.path
+
+
+def _application_partials(spark: SparkSession, layout: Layout, upto: int) -> DataFrame:
+    """The newest fold and the partials of the committed batches after it."""
+    folded_upto, folded = _newest_fold(spark, layout)
+    batch = F.col("batch_id")
+    later = spark.read.parquet(layout.table("application")).filter(
+        (batch > folded_upto) & (batch <= upto)
+    )
+    partials = later.drop("batch_id")
+    return partials if folded is None else partials.unionByName(spark.read.parquet(folded))
+
+
 def read_application(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The application table so far: the partials of all committed batches."""
+    """The application table so far: what all committed batches add up to."""
+    newest = newest_batch(spark, layout.checkpoint("application"))
+    return fold_partials(_application_partials(spark, layout, newest))
+
+
+def fold_application(spark: SparkSession, layout: Layout) -> int:
+    """Add the committed partials up once, so that later reads need only those after.
+
+    The fold counts from the moment its one-row entry is written, so one that
+    breaks off half-way is never read. Gives the last batch in it.
+    """
     newest = newest_batch(spark, layout.checkpoint("application"))
-    partials = spark.read.parquet(layout.table("application"))
-    return fold_partials(partials.filter(F.col("batch_id") <= newest))
+    folded = f"{layout.table('application_folded')}/{uuid.uuid4().hex}"
+    merge_partials(_application_partials(spark, layout, newest)).write.parquet(folded)
+    entry = spark.createDataFrame([(newest, folded)], "upto bigint, path string")
+    entry.coalesce(1).write.mode("append").parquet(layout.table("application_folds"))
+    return newest
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

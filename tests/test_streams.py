@@ -9,6 +9,7 @@ from helpers import assert_same_rows, rows
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from __spark_entry__ import queries
 from chirplake import schemas
 from chirplake.functions.scoring import load_lexicon_model, model_scorer
 from chirplake.operators.application import application_table
@@ -22,6 +23,7 @@ from chirplake.streaming.stages import (
     application_stream,
     bronze_stream,
     drain,
+    fold_application,
     gold_stream,
     read_application,
     run_layers,
@@ -195,6 +197,26 @@ def test_a_batch_run_twice_counts_once(spark, layout, landing, tmp_path):
     assert read_application(spark, restored).collect() == once
 
 
+def test_folding_partials_changes_no_result(spark, layout, landing):
+    for i in range(4):
+        add_file(landing, post(f"@a @b{i} love"))
+        run_layers(spark, str(landing), layout, FIVE)
+        drain(application_stream(spark, layout, FIVE))
+        before = read_application(spark, layout).collect()
+        if i % 2:
+            assert fold_application(spark, layout) == i
+            assert read_application(spark, layout).collect() == before
+    gold = read(spark, layout, "gold")
+    assert_same_rows(read_application(spark, layout), application_table(gold))
+    assert spark.read.parquet(layout.table("application_folds")).count() == 2
+
+
+def test_a_table_in_many_files_can_be_streamed(spark, sf_dir, tmp_path):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert_same_rows(queries()["table_streamed_directly"](spark, str(tmp_path)), events)
+
+
 def test_newest_batch_of_nothing(spark, tmp_path):
     assert tables.newest_batch(spark, str(tmp_path / "none")) == -1
 
