@@ -50,22 +50,15 @@ def _date() -> Column:
     return F.when(event % 101 == 0, None).when(event % 103 == 0, "not a date").otherwise(text)
 
 
-def _pick(choices: tuple[str | None, ...], number: Column) -> Column:
-    """The choice at ``number`` modulo their count."""
-    position = (number % len(choices) + 1).cast("int")
-    return F.element_at(F.array(*map(F.lit, choices)), position)
-
-
 def _text() -> Column:
-    fill = {
-        "{k}": F.concat(F.lit("h"), F.col("user_id") % 23),
-        "{j}": F.concat(F.lit("h"), F.col("event_id") % 7),
-        "{w}": _pick(WORDS, F.col("event_id")),
-    }
-    text = _pick(SHAPES, F.col("event_id"))
-    for slot, value in fill.items():
-        text = F.replace(text, F.lit(slot), value)
-    return text
+    """Shape and words go by the event's number; the two cycles together are one of 60."""
+    cycle = math.lcm(len(SHAPES), len(WORDS))
+    pairs = [(SHAPES[i % len(SHAPES)], WORDS[i % len(WORDS)]) for i in range(cycle)]
+    choices = [F.lit(shape and shape.replace("{w}", words)) for shape, words in pairs]
+    text = F.element_at(F.array(*choices), (F.col("event_id") % cycle + 1).cast("int"))
+    k = F.concat(F.lit("h"), F.col("user_id") % 23)
+    j = F.concat(F.lit("h"), F.col("event_id") % 7)
+    return F.replace(F.replace(text, F.lit("{k}"), k), F.lit("{j}"), j)
 
 
 def _sentiment() -> Column:
