@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -29,19 +30,21 @@ from chirplake.functions.text import (
     tokens,
 )
 from chirplake.operators import application as app
-from chirplake.operators import evaluation, profiling
-from chirplake.operators.layers import bronze_to_gold, silver_flags, to_gold, to_silver
+from chirplake.operators import evaluation, layers, profiling
+from chirplake.operators.layers import bronze_to_gold, to_gold, to_silver
 from chirplake.plans.posts import land, landing_files, posts
 from chirplake.plans.runs import streamed_posts
 from chirplake.schemas import BRONZE, CORRUPT_RECORD, RAW, SILVER, TEXT
 from chirplake.settings import Settings, configure, new_run_folder
 from chirplake.sources import raw, tables
-from chirplake.streaming import monitor
-from chirplake.streaming.stages import Layout, append_stream, bronze_stream, drain, silver_stream
+from chirplake.streaming import monitor, stages
+from chirplake.streaming.stages import Layout, append_stream, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+SPREAD_BYTES = 64 * 1024 * 1024
+
 # Tables of the test data, profiled whole.
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -111,8 +114,8 @@ def gold_scored_per_post(spark, sf_dir):
 
 
 @query
-def silver_flagged(spark, sf_dir):
-    return silver_flags(posts(spark, sf_dir)).withColumn(
+def silver_flags(spark, sf_dir):
+    return layers.silver_flags(posts(spark, sf_dir)).withColumn(
         "has_processing_time", F.col("processing_time").isNotNull()
     ).drop("processing_time")
 
@@ -229,9 +232,10 @@ def key_skew_profile(spark, sf_dir):
 
 @query
 def partition_balance(spark, sf_dir):
-    """Rows per partition after spreading silver for scoring."""
-    spread = _silver(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
-    return profiling.partition_balance(spread)
+    """Rows per partition after spreading silver for scoring: over all cores, in bounded parts."""
+    size = raw.count_files(spark, f"{sf_dir}/events.parquet").first()["bytes"]
+    parts = max(spark.sparkContext.defaultParallelism, math.ceil(size / SPREAD_BYTES))
+    return profiling.partition_balance(_silver(spark, sf_dir).repartition(parts))
 
 
 # Application
@@ -379,7 +383,7 @@ def text_line_scan(spark, sf_dir):
 
 
 @query
-def bronze_stream_table(spark, sf_dir):
+def bronze_stream(spark, sf_dir):
     return streamed_posts(spark, sf_dir).bronze.select(
         *RAW.names,
         F.col("source_file").isNotNull().alias("has_source_file"),
@@ -388,17 +392,17 @@ def bronze_stream_table(spark, sf_dir):
 
 
 @query
-def silver_stream_table(spark, sf_dir):
+def silver_stream(spark, sf_dir):
     return streamed_posts(spark, sf_dir).silver
 
 
 @query
-def gold_stream_table(spark, sf_dir):
+def gold_stream(spark, sf_dir):
     return streamed_posts(spark, sf_dir).gold
 
 
 @query
-def application_stream_table(spark, sf_dir):
+def application_stream(spark, sf_dir):
     return streamed_posts(spark, sf_dir).application
 
 
@@ -440,7 +444,7 @@ def rerun_is_noop(spark, sf_dir):
     """Silver run again on its checkpoint with nothing new: no row is read, none added."""
     run = streamed_posts(spark, sf_dir)
     run.silver  # noqa: B018
-    again = drain(silver_stream(spark, run.layout, run.settings))
+    again = drain(stages.silver_stream(spark, run.layout, run.settings))
     reread = sum(progress["numInputRows"] for progress in again.recentProgress)
     return tables.read_table(spark, run.layout.table("silver"), SILVER).agg(
         F.count("*").alias("rows"), F.lit(reread).cast("bigint").alias("rows_read_again")
@@ -457,12 +461,12 @@ def incremental_ingest(spark, sf_dir):
     is_early = F.col("sentiment") != "negative"
 
     land(frame.filter(is_early), landing, files)
-    drain(bronze_stream(spark, landing, layout, settings))
+    drain(stages.bronze_stream(spark, landing, layout, settings))
     first_end = tables.read_table(spark, layout.table("bronze"), BRONZE).agg(
         F.max("processing_time")
     ).first()[0]
     land(frame.filter(~is_early), landing, files)
-    drain(bronze_stream(spark, landing, layout, settings))
+    drain(stages.bronze_stream(spark, landing, layout, settings))
 
     run = F.when(F.col("processing_time") <= F.lit(first_end), 1).otherwise(2)
     bronze = tables.read_table(spark, layout.table("bronze"), BRONZE)
@@ -479,10 +483,10 @@ def schema_merge_read(spark, sf_dir):
     is_early = F.col("sentiment") != "negative"
 
     land(frame.filter(is_early).drop("event_type"), landing, files)
-    drain(bronze_stream(spark, landing, layout, settings))
+    drain(stages.bronze_stream(spark, landing, layout, settings))
     land(frame.filter(~is_early), landing, files)
     wider = StructType([*RAW.fields, StructField("event_type", TEXT, True)])
-    drain(bronze_stream(spark, landing, layout, settings, schema=wider))
+    drain(stages.bronze_stream(spark, landing, layout, settings, schema=wider))
 
     return tables.read_merged(spark, layout.table("bronze")).select(*wider.names)
 
@@ -499,7 +503,7 @@ def malformed_json_split(spark, sf_dir):
     broken = F.col("post_id") % 97 == 0
     lines = frame.select(F.when(broken, F.rtrim(line, F.lit("}"))).otherwise(line).alias("value"))
     lines.repartition(files).write.text(landing)
-    drain(bronze_stream(spark, landing, layout, settings, raw.with_corrupt_record(RAW)))
+    drain(stages.bronze_stream(spark, landing, layout, settings, raw.with_corrupt_record(RAW)))
 
     good, bad = raw.split_malformed(tables.read_merged(spark, layout.table("bronze")))
     as_rows = good.select(*RAW.names, F.lit(None).cast("string").alias("rejected_line"))

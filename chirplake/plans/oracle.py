@@ -182,7 +182,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_scored": gold_rows,
         "gold_scored_per_post": gold_rows,
         "gold_model_scored": gold_rows,
-        "silver_flagged": f"""{posts} SELECT "date" AS "timestamp",
+        "silver_flags": f"""{posts} SELECT "date" AS "timestamp",
           CAST(CASE WHEN contains(text, '@') THEN 1 ELSE 0 END AS INTEGER) AS mention,
           {CLEANED} AS text, sentiment, 'silver' AS data_layer, TRUE AS has_processing_time
           FROM posts WHERE text IS NOT NULL""",
@@ -256,11 +256,11 @@ def oracle_sql() -> dict[str, str]:
           CAST(sum(octet_length(encode({LINE} || '}}')) + 1) AS BIGINT) AS bytes FROM posts""",
         "json_inferred_scan": raw_rows,
         "text_line_scan": f"{posts} SELECT {LINE} || '}}' AS value FROM posts",
-        "bronze_stream_table": f"""{posts} SELECT "date", "user", text, sentiment,
+        "bronze_stream": f"""{posts} SELECT "date", "user", text, sentiment,
           TRUE AS has_source_file, TRUE AS has_processing_time FROM posts""",
-        "silver_stream_table": silver_rows,
-        "gold_stream_table": gold_rows,
-        "application_stream_table": application,
+        "silver_stream": silver_rows,
+        "gold_stream": gold_rows,
+        "application_stream": application,
         "table_streamed_directly": "SELECT * FROM events",
         "source_file_coverage": f"""{posts} SELECT {FILES} AS files, count(*) AS rows,
           CAST(0 AS BIGINT) AS rows_without_file FROM posts""",

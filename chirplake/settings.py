@@ -25,12 +25,15 @@ class Settings:
     use where file sizes vary. ``scoring_partitions`` spreads rows before a
     model is applied; None keeps the partitions of the scan and needs no shuffle.
     ``arrow_batch_rows`` is the number of rows per batch handed to a Python model.
+    ``shuffle_partitions`` is where a shuffle starts out before adaptive execution
+    joins small partitions; None leaves it to the session.
     """
 
     files_per_trigger: int = 10
     bytes_per_trigger: str | None = None
     scoring_partitions: int | None = None
     arrow_batch_rows: int = 1000
+    shuffle_partitions: int | None = None
     salts: int = 16
     target_file_bytes: int = 256 * 1024 * 1024
 
@@ -45,6 +48,8 @@ def configure(spark: SparkSession, settings: Settings | None = None) -> SparkSes
     wanted = dict(SESSION_SETTINGS)
     if settings is not None:
         wanted["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(settings.arrow_batch_rows)
+        if settings.shuffle_partitions is not None:
+            wanted["spark.sql.shuffle.partitions"] = str(settings.shuffle_partitions)
     for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
