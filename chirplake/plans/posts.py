@@ -43,10 +43,7 @@ def posts(spark: SparkSession, sf_dir: str, *carried: str) -> DataFrame:
 
 
 def _date() -> Column:
-    event, ts = F.col("event_id"), F.col("ts")
-    text = F.concat(
-        F.date_format(ts, "EEE MMM dd HH:mm:ss"), F.lit(" UTC "), F.date_format(ts, "yyyy")
-    )
+    event, text = F.col("event_id"), F.date_format("ts", "EEE MMM dd HH:mm:ss 'UTC' yyyy")
     return F.when(event % 101 == 0, None).when(event % 103 == 0, "not a date").otherwise(text)
 
 

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
 from helpers import assert_same_rows, plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from chirplake.functions.labels import given_class_id, predicted_class_id
@@ -70,6 +74,29 @@ def test_native_and_python_scorer_agree(spark, texts):
     assert_same_rows(native, python)
 
 
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    code = (
+        "import sys, pandas; from pyspark import cloudpickle;"
+        "load = cloudpickle.loads(sys.stdin.buffer.read());"
+        "print(load()(pandas.Series(['hate'])).label[0])"
+    )
+    pickled = cloudpickle.dumps(load_lexicon_model)
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=pickled, capture_output=True, cwd=tmp_path, timeout=120
+    )
+    assert done.stdout.strip() == b"NEG", done.stderr
+
+
+def test_equal_texts_of_a_batch_are_scored_once(spark):
+    def load():
+        return lambda texts: load_lexicon_model()(texts).assign(score=1.0 / len(texts))
+
+    frame = spark.createDataFrame([("love",)] * 6 + [(None,), ("x",)], "text string").coalesce(1)
+    scored = model_scorer(load)(frame, "text").select("text", f"{PREDICTED}.*")
+    want = [("love", "POS", 1 / 3)] * 6 + [(None, "NEU", 1 / 3), ("x", "NEU", 1 / 3)]
+    assert rows(scored) == want
+
+
 def test_model_is_called_once_per_row(spark, sf_dir):
     gold = to_gold(to_silver(posts(spark, sf_dir)), model_scorer(load_lexicon_model))
     assert plan_of(gold).count("ArrowEvalPython") == 1
