@@ -20,6 +20,11 @@ def row_counts(layers: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows by all columns in turn, so that every look shows the same rows."""
+    return df.orderBy(*[F.col(name).asc_nulls_last() for name in df.columns]).limit(n)
+
+
 def null_profile(df: DataFrame, table_name: str) -> DataFrame:
     """Missing values per column: nulls, and NaN where the type has it."""
 

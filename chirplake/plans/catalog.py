@@ -186,9 +186,17 @@ def layer_row_counts(spark, sf_dir):
 
 @query
 def layer_preview(spark, sf_dir):
-    """The first five gold rows by time."""
-    first = F.asc_nulls_last("timestamp"), "mention", "cleaned_text", "sentiment"
-    return _gold(spark, sf_dir).orderBy(*first).limit(5)
+    return profiling.preview(_gold(spark, sf_dir))
+
+
+@query
+def silver_preview(spark, sf_dir):
+    return profiling.preview(_silver(spark, sf_dir))
+
+
+@query
+def bronze_preview(spark, sf_dir):
+    return profiling.preview(streamed_posts(spark, sf_dir).bronze.select(*RAW.names))
 
 
 @query
@@ -266,6 +274,11 @@ def top_negative_mentions(spark, sf_dir):
     return app.top_mentions(_gold(spark, sf_dir), "negative")
 
 
+@query
+def most_mentioned(spark, sf_dir):
+    return app.top_mentions(_gold(spark, sf_dir), "total", 10)
+
+
 @query
 def salted_mention_totals(spark, sf_dir):
     return app.salted_mention_totals(_gold(spark, sf_dir), Settings().salts)

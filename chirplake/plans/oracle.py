@@ -198,8 +198,9 @@ def oracle_sql() -> dict[str, str]:
         "layer_row_counts": f"""{silver} SELECT 'bronze' AS layer, count(*) AS rows FROM posts
           UNION ALL SELECT 'silver', count(*) FROM silver
           UNION ALL SELECT 'gold', count(*) FROM silver""",
-        "layer_preview": f"""{gold_rows}
-          ORDER BY "timestamp" NULLS LAST, mention, cleaned_text, sentiment LIMIT 5""",
+        "layer_preview": f"{gold_rows} ORDER BY ALL LIMIT 5",
+        "silver_preview": f"{silver_rows} ORDER BY ALL LIMIT 5",
+        "bronze_preview": f"{raw_rows} ORDER BY ALL LIMIT 5",
         "null_profile": f"{posts} {_missing('posts')}",
         "null_profile_all_tables": " UNION ALL ".join(_missing(table) for table in TABLES),
         "posts_per_user": f'{posts} SELECT "user", count(*) AS posts FROM posts GROUP BY "user"',
@@ -219,6 +220,8 @@ def oracle_sql() -> dict[str, str]:
         "mention_time_range": f"{silver} SELECT mention, {TIMES} FROM silver GROUP BY mention",
         "top_positive_mentions": top("POS", "positive"),
         "top_negative_mentions": top("NEG", "negative"),
+        "most_mentioned": f"""{silver} SELECT mention, count(*) AS total
+          FROM silver GROUP BY mention ORDER BY total DESC, mention LIMIT 10""",
         "salted_mention_totals": f"""{silver}
           SELECT mention, count(*) AS total FROM silver GROUP BY mention""",
         "classifier_metrics": f"{given} SELECT * FROM metrics",
