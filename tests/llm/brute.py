@@ -1,0 +1,154 @@
+"""What the queries must return, written down a second time in plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import xxhash
+
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_WHITE = " \t\n\x0b\x0c\r"
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def line_dedup(docs):
+    """Of (doc_id, text): (doc_id, n_lines, n_dropped, sha256)."""
+    first = {}
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            key = line.strip(_WHITE).translate(_LOWER)
+            if doc is not None and len(key) >= 10:
+                first[key] = min(first.get(key, doc), doc)
+    out = []
+    for doc, text in docs:
+        lines = (text or "").split("\n")
+        kept = [
+            line
+            for line in lines
+            if doc is None or first.get(line.strip(_WHITE).translate(_LOWER), doc) == doc
+        ]
+        out.append((doc, len(lines), len(lines) - len(kept), sha("\n".join(kept))))
+    return out
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(_LOWER))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    counts = Counter()
+    for shingle in shingles:
+        h = xxhash.xxh64_intdigest(shingle.encode(), 42)
+        counts.update(b for b in range(64) if h >> b & 1)
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(shingles))
+
+
+def near_groups(docs, most=4):
+    """Of (doc_id, text): (doc_id, fingerprint, component)."""
+    prints = [(doc, fingerprint(text)) for doc, text in docs]
+    return groups_of(prints, most)
+
+
+def groups_of(prints, most=4):
+    first = {}
+    for doc, code in prints:
+        if doc is not None:
+            first[code] = min(first.get(code, doc), doc)
+    up = {}
+
+    def root(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    def join(a, b):
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+
+    codes = list(first)
+    for i, a in enumerate(codes):
+        for b in codes[:i]:
+            if (a ^ b).bit_count() <= most:
+                join(first[a], first[b])
+    for doc, code in prints:
+        if doc is not None:
+            join(doc, first[code])
+    return [
+        (doc, code, root(doc) if doc is not None else root(first[code]) if code in first else None)
+        for doc, code in prints
+    ]
+
+
+def bench_words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(_LOWER))
+
+
+def decontaminate(docs, items, window=10):
+    """Of (doc_id, text) and (item_id, text): (doc_id, n_words, n_hit, n_items, sha256, flag)."""
+    grams = defaultdict(set)
+    for item, text in items:
+        words = bench_words(text)
+        if words:
+            n = min(len(words), window)
+            for i in range(len(words) - n + 1):
+                grams[tuple(words[i : i + n])].add("" if item is None else str(item))
+    lengths = {len(gram) for gram in grams}
+    out = []
+    for doc, text in docs:
+        words = bench_words(text)
+        hit, found = set(), set()
+        for n in lengths:
+            for i in range(len(words) - n + 1):
+                gram = tuple(words[i : i + n])
+                if gram in grams:
+                    hit.update(range(i, i + n))
+                    found |= grams[gram]
+        out.append((doc, len(words), len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
+    return out
+
+
+def base_metrics(text):
+    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed) of one text."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    windows = defaultdict(list)
+    for i in range(len(words) - 4):
+        windows[tuple(words[i : i + 5])].append(i)
+    repeated = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(5)}
+    failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    return len(words), sum(map(len, words)), symbols, dup, len(repeated), failed
+
+
+def url_parts(url):
+    """(host, path) of a url."""
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    return host.translate(_LOWER), re.match(r"[^?#]*", rest[len(host) :]).group()
+
+
+def url_rule(host, path):
+    rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+    fits = []
+    for rule in rules:
+        name, rest = rule.split("/", 1)
+        if (host == name or host.endswith("." + name)) and path.startswith("/" + rest):
+            fits.append(rule)
+    best = max(fits, key=len, default=None)
+    return best, rules.get(best)
+
+
+def crc(ids) -> int:
+    return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
