@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType, StructField, StructType
 
 from chirplake.llm.common import checkpoint, free_name
 
@@ -20,7 +21,7 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
 
-_METRICS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
+METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
@@ -74,12 +75,11 @@ def text_metrics(text: str) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated_words(words)
 
 
-@arrow_udf(f"struct<{_METRICS.replace(' bigint', ':bigint')}>")
+@arrow_udf(StructType([StructField(name, LongType()) for name in METRICS]))
 def _measure(texts: pa.Array) -> pa.Array:
     rows = [text_metrics(text or "") for text in texts.to_pylist()]
-    names = [name.split()[0] for name in _METRICS.split(", ")]
-    columns = zip(*rows, strict=True) if rows else [[] for _ in names]
-    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+    columns = zip(*rows, strict=True) if rows else [[] for _ in METRICS]
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=METRICS)
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from chirplake.llm.common import (
     WHITE,
@@ -35,6 +36,13 @@ _STREAMED = (
     "head_1 long, head_2 long, head_doc long, last_1 long, last_2 long, last_doc long, one boolean"
 )
 _DROP, _HEAD, _SUMMARY = 0, 1, 2
+_APPLIED = StructType(
+    [
+        StructField("text", StringType()),
+        StructField("n_lines", LongType()),
+        StructField("n_dropped", LongType()),
+    ]
+)
 
 
 def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -123,7 +131,7 @@ def _first_of_heads(summaries: list) -> list[tuple[int, int]]:
     return found
 
 
-@arrow_udf("binary")
+@arrow_udf(BinaryType())
 def _pack(positions: pa.Array) -> pa.Array:
     """Sorted positions of dropped lines as a compressed bitmap of kept ones."""
 
@@ -162,7 +170,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return lists.select("doc", "tag", _pack("positions").alias("bitmap"))
 
 
-@arrow_udf("struct<text:string,n_lines:bigint,n_dropped:bigint>")
+@arrow_udf(_APPLIED)
 def _apply(texts: pa.Array, bitmaps: pa.Array) -> pa.Array:
     kept, lines, dropped = [], [], []
     for text, bitmap in zip(texts.to_pylist(), bitmaps.to_pylist(), strict=True):

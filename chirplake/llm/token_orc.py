@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from chirplake.llm.common import in_order, part_offsets, whole_text
 from chirplake.llm.encoders import byte_encoder
@@ -66,7 +67,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("doc_id long, ids array<int>").orc(path)
 
 
-@arrow_udf("bigint")
+@arrow_udf(LongType())
 def _crc32(ids: pa.Array) -> pa.Array:
     offsets = ids.offsets.to_numpy()
     values = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<u4")
