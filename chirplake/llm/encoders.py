@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
 from chirplake.llm.common import worker_cache
 
-MEMORY_CHUNKS = 400_000
+MEMORY_CHUNKS = 1_200_000
 LONGEST_REMEMBERED = 48
 
 # One white-space character next to another: the byte-level rule looks across such runs.
@@ -22,6 +24,20 @@ _RUN = re.compile(r"\s\s")
 # Where a space or a line end stands alone between other characters, a token ends before it.
 _ALONE = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _MARK = "\x00"
+# Letters any version of Unicode knows.
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ƺ]+")
+_LETTERS_AND_MARK = re.compile(_LETTERS.pattern + "[.,!?]")
+
+
+def _shown_bytes() -> dict[int, int]:
+    """The signs byte-level vocabularies write for bytes: printable Latin-1 stands for itself, the
+    others are numbered from 256."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [byte for byte in range(256) if byte not in printable]
+    return {byte: 256 + number for number, byte in enumerate(hidden)}
+
+
+_SHOWN_BYTES = _shown_bytes()
 
 
 class ByteEncoder(dict):
@@ -44,13 +60,23 @@ class ByteEncoder(dict):
             return _ALONE.split(text)
         return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split(_MARK)
 
+    def letters(self, chunk: str) -> bytes:
+        """Ids of one run of letters, a space before it or not: the rule splits it no further."""
+        shown = chunk.encode().decode("latin-1").translate(_SHOWN_BYTES)
+        ids = array("I", [token.id for token in self.tokenizer.model.tokenize(shown)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def library(self, text: str) -> bytes:
         return np.array(
             self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
         ).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(chunk) > 2 and chunk[-1] in ".,!?" and chunk[-2] < "\u0250" and chunk[-2].isalpha():
+        if _LETTERS.fullmatch(chunk):
+            ids = self.letters(chunk)
+        elif _LETTERS_AND_MARK.fullmatch(chunk):
             ids = self[chunk[:-1]] + self[chunk[-1]]
         else:
             ids = self.library(chunk) if chunk else b""

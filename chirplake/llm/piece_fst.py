@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import codecs
 import re
+import sys
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -31,11 +33,12 @@ from pyspark.sql.functions import arrow_udf
 from chirplake.llm.common import whole_text, worker_cache
 
 SPACE = "▁"
-MEMORY_CHUNKS = 400_000
-MEMORY_PAIRS = 1_000_000
+MEMORY_CHUNKS = 1_200_000
+MEMORY_PAIRS = 500_000
 LONGEST_REMEMBERED = 48
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _INFINITE = float("inf")
+_NOWHERE: dict = {}
 
 
 def _replace_byte(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -102,11 +105,11 @@ class PieceTransducer:
         self.fallback = trained.byte_fallback and len(self.bytes) == 256
         # One state per prefix of a piece; the empty string leads to the piece that ends there.
         self.trie: dict = {}
-        for piece, weight in self.weights.items():
+        for piece in self.weights:
             node = self.trie
             for char in piece:
                 node = node.setdefault(char, {})
-            node[""] = (piece, weight)
+            node[""] = piece
         # The library's own cost of a character without a piece.
         self.unknown_weight = max(self.weights.values(), default=0.0) + 10.0
         # Characters side by side in any piece; between others every lattice falls apart.
@@ -164,44 +167,66 @@ class PieceTransducer:
 
     def shortest_path(self, chunk: str) -> list[str]:
         """The pieces, and characters without one, along the best path through the lattice."""
-        n, merges, stays = len(chunk), self.merges, self.stays
-        # For each position the smallest total and the arc it came by. With merges the text up to a
-        # position has one path of finite weight, so one arc is all there is to keep.
-        total = [0.0] + [_INFINITE] * n
+        arc = self._finite_arcs(chunk) if self.merges else self._cheapest_arcs(chunk)
+        path, at = [], len(chunk)
+        while at:
+            path.append(arc[at])
+            at -= len(arc[at])
+        return path[::-1]
+
+    def _cheapest_arcs(self, chunk: str) -> list[str]:
+        """For each position the last arc of the path with the smallest total weight to it."""
+        n = len(chunk)
+        total, arc = [0.0] + [_INFINITE] * n, [""] * (n + 1)
+        for start in range(n):
+            node = self.trie
+            for stop in range(start + 1, n + 1):
+                node = node.get(chunk[stop - 1], _NOWHERE)
+                piece = node.get("")
+                if piece is not None:
+                    weight = total[start] + self.weights[piece]
+                elif stop == start + 1:
+                    piece, weight = chunk[start], total[start] + self.unknown_weight
+                elif not node:
+                    break
+                else:
+                    continue
+                if weight < total[stop]:
+                    total[stop], arc[stop] = weight, piece
+        return arc
+
+    def _finite_arcs(self, chunk: str) -> list[str]:
+        """For each position the last arc of the one path of finite weight to it.
+
+        The piece before is the state, and a position has one path, so one arc holds it all.
+        """
+        n, root, stays = len(chunk), self.trie, self.stays
         arc = [""] * (n + 1)
         for start in range(n):
-            before, node = arc[start], self.trie
-            for stop in range(start, n):
-                node = node.get(chunk[stop])
-                if node is None:
-                    if stop > start:
+            before, node = arc[start], root
+            for stop in range(start + 1, n + 1):
+                node = node.get(chunk[stop - 1], _NOWHERE)
+                if arc[stop]:
+                    if not node:
                         break
-                    piece, weight, node = chunk[start], self.unknown_weight, {}
-                else:
-                    found = node.get("")
-                    if found is None:
-                        if stop > start:
-                            continue
-                        found = chunk[start], self.unknown_weight
-                    piece, weight = found
-                weight += total[start]
-                if weight >= total[stop + 1] or merges and arc[stop + 1]:
                     continue
-                if merges:
-                    allowed = stays.get((before, piece))
-                    if allowed is None:
-                        allowed = self._allowed(before, piece) if start else self._history(piece)[0]
-                        if len(stays) >= MEMORY_PAIRS:
-                            stays.clear()
-                        stays[before, piece] = allowed
-                    if not allowed:
+                piece = node.get("")
+                if piece is None:
+                    if stop == start + 1:
+                        piece = chunk[start]
+                    elif not node:
+                        break
+                    else:
                         continue
-                total[stop + 1], arc[stop + 1] = weight, piece
-        path, at = [], n
-        while at:
-            path.append(arc[at])
-            at -= len(arc[at])
-        return path[::-1]
+                allowed = stays.get((before, piece))
+                if allowed is None:
+                    allowed = self._allowed(before, piece) if start else self._history(piece)[0]
+                    if len(stays) >= MEMORY_PAIRS:
+                        stays.clear()
+                    stays[before, piece] = allowed
+                if allowed:
+                    arc[stop] = piece
+        return arc
 
     def _cut(self, chunk: str) -> list[str]:
         """The chunk cut where two characters meet that no piece has side by side."""
@@ -214,10 +239,10 @@ class PieceTransducer:
 
     def ids_of(self, chunk: str) -> bytes:
         """Ids of a chunk that is not in the memory yet."""
-        parts = self._cut(chunk)
-        if len(parts) > 1:
+        # Letters alone are seldom cut.
+        if not chunk.lstrip(SPACE).isalpha() and len(parts := self._cut(chunk)) > 1:
             return b"".join(map(self.memory.__getitem__, parts))
-        out: list[int] = []
+        out = array("i")
         for piece in self.shortest_path(chunk):
             known = self.ids.get(piece)
             if known is not None:
@@ -226,7 +251,9 @@ class PieceTransducer:
                 out.extend(self.bytes[b] for b in piece.encode("utf-8", "surrogatepass"))
             else:
                 out.append(self.unknown)
-        return np.array(out, "<i4").tobytes()
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian 32-bit numbers."""

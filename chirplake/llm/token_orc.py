@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from chirplake.llm.common import in_order, part_offsets, whole_text
+from chirplake.llm.common import checkpoint, in_order, part_offsets, whole_text
 from chirplake.llm.encoders import byte_encoder
 
 END_ID = 0
@@ -110,7 +110,8 @@ def token_spans(tokens: DataFrame) -> DataFrame:
     read = tokens.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), _crc32("ids").alias("ids_crc32")
     )
-    placed = in_order(read, "doc_id", "n_tokens", "ids_crc32")
+    # Stored first, as putting rows in order looks at them twice.
+    placed = in_order(checkpoint(read), "doc_id", "n_tokens", "ids_crc32")
     offsets = part_offsets(placed, F.col("n_tokens"))
     columns = placed.select("doc_id", "n_tokens", "ids_crc32", "_part")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
