@@ -105,7 +105,7 @@ def part_offsets(placed: DataFrame, value: Column | None = None) -> dict[int, in
 
 def offset_column(offsets: dict[int, int]) -> Column:
     """``offsets`` by the column ``_part``; it has an entry for each partition."""
-    highest = max(offsets, default=-1)
+    highest = max(offsets, default=0)
     values = ",".join(str(offsets.get(part, 0)) for part in range(highest + 1))
     return F.get(F.split(F.lit(values), ",").cast("array<bigint>"), F.col("_part"))
 

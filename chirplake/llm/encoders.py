@@ -118,8 +118,11 @@ class PieceEncoder(dict):
     _WORD = re.compile("▁+[^▁]*")
 
     def __missing__(self, chunk: str) -> bytes:
-        # The library puts the first word start back.
-        ids = self.processor.encode(chunk[1:].replace("▁", " "), num_threads=1)
+        # The library puts the first word start back, but not before nothing.
+        if chunk == "▁":
+            ids = [self.processor.piece_to_id(chunk)]
+        else:
+            ids = self.processor.encode(chunk[1:].replace("▁", " "), num_threads=1)
         ids = np.array(ids, "<u2").tobytes()
         if len(chunk) <= LONGEST_REMEMBERED:
             if len(self) >= MEMORY_CHUNKS:

@@ -20,6 +20,8 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 SYMBOLS = b"#*$%&|<>"
+# The prior counts for one document at least, so that a single one does not condemn its host.
+MIN_PRIOR_DOCS = 1.0
 
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -128,7 +130,7 @@ def _prior_weight(mean: float, spread: float, hosts: int, n: int, squares: int)
     between = (spread - (hosts - 1) * chance) / freedom
     if between <= 0:
         return None
-    return max(chance / between - 1, 1e-6)
+    return max(chance / between - 1, MIN_PRIOR_DOCS)
 
 
 def judge(docs: DataFrame, policy: HostPolicy = HostPolicy()) -> DataFrame:

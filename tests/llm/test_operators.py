@@ -1,0 +1,238 @@
+"""Operators beyond their queries: skew over many partitions, files, models, removal."""
+
+from __future__ import annotations
+
+import random
+
+import brute
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from chirplake.llm import (
+    decontaminate,
+    host_rules,
+    importance,
+    line_dedup,
+    piece_fst,
+    rendezvous,
+    simhash,
+    token_orc,
+    token_scan,
+    url_filter,
+)
+from chirplake.llm import queries as q
+from chirplake.llm.components import components
+from chirplake.llm.gray_index import gray_code, gray_rank, group_cells
+
+RNG = random.Random(7)
+
+
+def pairs(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def test_lines_of_a_hot_key_over_many_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    docs = [(i, f"the very same line\nline number {i % 50} here\nown {i} own own") for i in range(900)]
+    RNG.shuffle(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(9)
+    try:
+        found = line_dedup.dedup_lines(frame).select(
+            "doc_id", "n_lines", "n_dropped", F.sha2("text", 256)
+        )
+        assert sorted(map(tuple, found.collect())) == sorted(brute.line_dedup(docs))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_gray_rank_orders_neighbours():
+    ranks = np.arange(1000, dtype=np.uint64)
+    codes = gray_code(ranks)
+    assert (np.bitwise_count(codes[1:] ^ codes[:-1]) == 1).all()
+    assert (gray_rank(codes) == ranks).all()
+
+
+@pytest.mark.parametrize("size", [1, 2, 17, 300, 700])
+def test_gray_index_finds_every_group(size):
+    base = [RNG.getrandbits(64) for _ in range(6)]
+    codes = {RNG.getrandbits(64) for _ in range(size // 3)}
+    while len(codes) < size:
+        code = RNG.choice(base)
+        for _ in range(RNG.randint(0, 9)):
+            code ^= 1 << RNG.randrange(64)
+        codes.add(code)
+    array = np.array(sorted(codes), np.uint64)
+    array = array[np.argsort(gray_rank(array))]
+    first = group_cells(array, np.array([0]), 4)
+    wanted = brute.groups_of(list(enumerate(array.tolist())))
+    assert first.tolist() == [root for _, _, root in wanted]
+
+
+def test_near_links_over_sliced_cells(spark):
+    """A chain of codes, each four bits from the last, in cells cut into many slices."""
+    code, chain = RNG.getrandbits(64), []
+    for _ in range(120):
+        chain.append(code)
+        for bit in RNG.sample(range(64), 4):
+            code ^= 1 << bit
+    cloud = list({chain[0] ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(a)})
+    rows = list(enumerate(dict.fromkeys(chain + cloud + [RNG.getrandbits(64) for _ in range(200)])))
+    signed = [(i, c - (1 << 64) if c >> 63 else c) for i, c in rows]
+    codes = spark.createDataFrame(signed, "id long, code long")
+    roots = dict(pairs(components(simhash.near_links(codes, slice_rows=50)), "node", "root"))
+    for i, _, root in brute.groups_of(rows):
+        assert roots.get(i, i) == root
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 400)] + [(5, 5)]
+    RNG.shuffle(links)
+    found = dict(pairs(components(spark.createDataFrame(links, "a long, b long")), "node", "root"))
+    assert found == {i: 0 for i in range(1, 61)} | {i: 100 for i in range(101, 400)}
+
+
+def test_kept_documents_of_groups(spark):
+    text = " ".join(f"word{i}" for i in range(200))
+    docs = [(3, text), (1, text), (2, text + " more"), (9, "other text here"), (None, text), (1, text)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_flag", F.lit(0))
+    kept = simhash.keep_first(frame)
+    assert kept.columns == frame.columns
+    groups = dict(pairs(simhash.near_groups(frame).where("doc_id is not null"), "doc_id", "component"))
+    wanted = [d for d, _ in docs if d is None or groups[d] == d]
+    assert sorted(map(repr, (r[0] for r in kept.collect()))) == sorted(map(repr, wanted))
+
+
+@pytest.mark.parametrize("cut", [1, 3, 1000])
+def test_documents_over_edges_of_blocks_and_files(spark, tmp_path, cut):
+    ids = np.array([5, 6, 2, 2, 7, 8, 9, 2, 4], "<u2")
+    for n, part in enumerate(np.split(ids, [2, 2, 6])):
+        (tmp_path / f"part-{n:05d}.bin").write_bytes(part.tobytes())
+    found = pairs(token_scan.count_tokens(spark, str(tmp_path), block_ids=cut), "document", "start", "n_tokens", "complete")
+    assert found == [(0, 0, 3, True), (1, 3, 1, True), (2, 4, 4, True), (3, 8, 1, False)]
+
+
+def test_orc_has_bloom_filters_and_prunes(spark, tmp_path, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    token_orc.write_tokens(docs, f"{tmp_path}/o", q.tokenizer_file(q.BYTE_TOKENIZER))
+    tokens = token_orc.read_tokens(spark, f"{tmp_path}/o")
+    one = tokens.where("doc_id = 17")
+    assert one.count() == 1
+    assert "EqualTo(doc_id,17)" in one._jdf.queryExecution().executedPlan().toString()
+    raw = b"".join(p.read_bytes() for p in (tmp_path / "o").glob("*.orc"))
+    assert raw[:3] == b"ORC"
+
+
+def unigram(model: bytes) -> bytes:
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    proto.trainer_spec.model_type = proto.trainer_spec.UNIGRAM
+    for i, piece in enumerate(proto.pieces):
+        if piece.type == type(piece).NORMAL:
+            piece.score = -3.0 - 10 * (i * 0.6180339887498949 % 1.0)
+    return proto.SerializeToString()
+
+
+@pytest.mark.parametrize("kind", ["pairs", "unigram"])
+def test_shortest_path_is_the_library_encoding(kind):
+    with open(q.tokenizer_file(q.PIECE_MODEL), "rb") as file:
+        model = file.read()
+    model = unigram(model) if kind == "unigram" else model
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    machine = piece_fst.PieceTransducer(model)
+    signs = [*"abcdefghij the ing tion ▁ é☃𝒳日本\n\t  <0x0A>.,!'", "  ", "there", "Zü"]
+    for _ in range(1500):
+        text = "".join(RNG.choice(signs) for _ in range(RNG.randint(0, 40)))
+        ids = np.frombuffer(machine.encode(text), "<i4").tolist()
+        assert ids == library.encode(text), text
+        assert machine.decode(ids) == library.decode(ids)
+    for _ in range(500):
+        ids = [RNG.randrange(300 if RNG.random() < 0.5 else 32_000) for _ in range(RNG.randint(0, 9))]
+        assert machine.decode(ids) == library.decode(ids)
+
+
+def test_removal_of_spans_and_documents(spark):
+    passage = "Alpha beta, gamma delta epsilon zeta eta theta iota kappa"
+    docs = [(1, f"Keep me. {passage}! and me"), (2, "clean text"), (3, None), (3, passage), (4, f"({passage.upper()})")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("hits", F.lit("clash"))
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    kept = decontaminate.remove_documents(frame, items)
+    assert kept.columns == frame.columns
+    assert pairs(kept, "doc_id", "text") == [(2, "clean text"), (3, None)]
+    cut = dict(pairs(decontaminate.remove_spans(frame.where("doc_id <> 3"), items), "doc_id", "text"))
+    assert cut[2] == "clean text" and cut[4].strip("() ,") == ""
+    assert brute.bench_words(cut[1]) == ["keep", "me", "and", "me"]
+
+
+def test_decontamination_plan_is_native(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    hits = decontaminate.find_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_bad_hosts_go_and_small_ones_do_not(spark):
+    good = "every word of this text is here once and so it passes all the rules"
+    rows = [("bad", "few words")] * 190 + [("bad", good)] * 10 + [("fine", good)] * 600
+    rows += [("tiny", "few words"), (None, good)] + [(f"h{i}", good) for i in range(40)]
+    frame = spark.createDataFrame([(i, t, s) for i, (s, t) in enumerate(rows)], "doc_id long, text string, source string")
+    judged = host_rules.judge(frame)
+    assert {r[0] for r in judged.where("host_rejected").select("source").distinct().collect()} == {"bad"}
+    kept = host_rules.keep_good(frame)
+    assert kept.columns == frame.columns and kept.count() == 600 + 1 + 40
+    assert kept.exceptAll(judged.where("kept").join(frame.select("doc_id", "text"), "doc_id").select(*frame.columns)).isEmpty()
+
+
+def test_rendezvous_moves_few_and_obeys_weights(spark):
+    keys = spark.range(20_000).select(
+        rendezvous.shard_of(F.col("id"), [1, 1, 2, 0]).alias("a"),
+        rendezvous.shard_of(F.col("id"), [1, 1, 2, 0, 1]).alias("b"),
+    )
+    counts = {r["a"]: r["count"] for r in keys.groupBy("a").count().collect()}
+    assert set(counts) == {0, 1, 2} and abs(counts[2] - 10_000) < 500
+    assert keys.where("a <> b and b <> 4").isEmpty()
+    assert abs(keys.where("b = 4").count() - 4_000) < 400
+    with pytest.raises(ValueError):
+        rendezvous.shard_of(F.col("id"), [0.0])
+
+
+def test_names_are_split_into_words():
+    cost = {"cheap": 2.0, "pills": 2.5, "he": 3.0, "a": 1.0}
+    assert url_filter.split_words("cheappills", cost, 9.0, 24) == ["cheap", "pills"]
+    assert url_filter.split_words("xyzcheap", cost, 9.0, 24) == ["xyz", "cheap"]
+    assert url_filter.split_words("", cost, 9.0, 24) == []
+
+
+def test_url_model_on_held_out_pages(spark):
+    """Hosts that no rule covers are judged by the words they share with hosts that one does."""
+    bad, good = ["cheap", "pills", "casino", "spam", "win"], ["city", "library", "school", "news", "garden"]
+    pages, truth = [], {}
+    for i in range(600):
+        words, ending = (bad, "net") if i % 2 else (good, "org")
+        name = "".join(RNG.sample(words, 2))
+        tail = f"{ending}/fr/{RNG.choice(words)}" if i < 450 else f"info/en/{RNG.choice(words)}"
+        pages.append((i, f"http://{name}.{tail}", "<p>" + " ".join(bad + good) + "</p>"))
+        truth[i] = "block" if i % 2 else "allow"
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    judged = url_filter.judge(frame, q.URL_RULES).where("rule is null")
+    found = dict(pairs(judged, "page_id", "verdict"))
+    assert len(found) == 150
+    assert sum(found[i] == truth[i] for i in found) / len(found) > 0.95
+
+
+def test_resampling_prefers_the_target_on_held_out_documents(spark):
+    clean = ["garden", "river", "stone", "letter", "window", "quiet", "summer", "paper"]
+    junk = ["buy!!", "$$$", "click", "winner", "###", "free!!!"]
+    docs, labels = [], []
+    for i in range(800):
+        words = clean if i % 4 else junk
+        docs.append((i, " ".join(RNG.choice(words) for _ in range(60))))
+        if i < 400:
+            labels.append((i, int(bool(i % 4)), 0))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    drawn = importance.resample(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    held_out = [r for r in drawn.collect() if r["doc_id"] >= 400]
+    assert sum(r["kept"] == bool(r["doc_id"] % 4) for r in held_out) / len(held_out) > 0.98
