@@ -13,6 +13,9 @@ of ``label`` (POS, NEU or NEG) and ``score`` (0 to 1). Three are given:
 from __future__ import annotations
 
 import re
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -85,15 +88,23 @@ def load_lexicon_model() -> Model:
 
 
 def model_scorer(load_model: Callable[[], Model]) -> Scorer:
-    """Apply a Python model batch by batch; ``load_model`` runs once per worker.
+    """Apply a Python model batch by batch; ``load_model`` runs once per worker process.
+
+    The model stays with the process, which serves many tasks, under a name of its own: this
+    package reaches workers by value, anew for each task, so its globals would not last.
 
     Equal texts of a batch are scored once: the mentions of one post share their
     text, and a text that is posted over and over costs little.
     """
 
+    model_id = uuid.uuid4().hex
+
     @F.pandas_udf(PREDICTION)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = load_model()
+        kept = sys.modules.setdefault("_chirplake_models", types.ModuleType("_chirplake_models"))
+        model = kept.__dict__.get(model_id)
+        if model is None:
+            model = kept.__dict__[model_id] = load_model()
         for texts in batches:
             positions, distinct = pd.factorize(texts, use_na_sentinel=False)
             yield model(pd.Series(distinct)).iloc[positions].reset_index(drop=True)

@@ -41,6 +41,11 @@ def tokens(text: Column) -> Column:
     return F.split(token_text(text), " ")
 
 
+def token_count(text: Column) -> Column:
+    """Size of ``tokens`` without building them: one more than the signs that split."""
+    return F.length(text) - F.length(F.regexp_replace(text, NOT_TOKEN, "")) + 1
+
+
 def is_mention(token: Column) -> Column:
     return token.rlike(MENTION_TOKEN)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -26,6 +25,7 @@ from chirplake.functions.text import (
     is_mention,
     parse_post_date,
     strip_mentions,
+    token_count,
     token_text,
     tokens,
 )
@@ -34,7 +34,7 @@ from chirplake.operators import evaluation, layers, profiling
 from chirplake.operators.layers import bronze_to_gold, to_gold, to_silver
 from chirplake.plans.posts import land, landing_files, posts
 from chirplake.plans.runs import streamed_posts
-from chirplake.schemas import BRONZE, CORRUPT_RECORD, RAW, SILVER, TEXT
+from chirplake.schemas import BRONZE, CORRUPT_RECORD, GOLD, RAW, SILVER, TEXT
 from chirplake.settings import Settings, configure, new_run_folder
 from chirplake.sources import raw, tables
 from chirplake.streaming import monitor, stages
@@ -43,8 +43,6 @@ from chirplake.streaming.stages import Layout, append_stream, drain
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SPREAD_BYTES = 64 * 1024 * 1024
-
 # Tables of the test data, profiled whole.
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -166,7 +164,7 @@ def text_tables_presence(spark, sf_dir):
                 F.count("*").alias("rows"),
                 F.count_if(has_at_sign(text)).alias("with_at_sign"),
                 F.count_if(has_mention(text)).alias("with_mention"),
-                F.sum(F.array_size(tokens(text)).cast("bigint")).alias("tokens"),
+                F.sum(token_count(text).cast("bigint")).alias("tokens"),
                 F.sum(F.length(strip_mentions(text)).cast("bigint")).alias("cleaned_chars"),
             )
             .withColumn("table_name", F.lit(table))
@@ -240,10 +238,8 @@ def key_skew_profile(spark, sf_dir):
 
 @query
 def partition_balance(spark, sf_dir):
-    """Rows per partition after spreading silver for scoring: over all cores, in bounded parts."""
-    size = raw.count_files(spark, f"{sf_dir}/events.parquet").first()["bytes"]
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(size / SPREAD_BYTES))
-    return profiling.partition_balance(_silver(spark, sf_dir).repartition(parts))
+    """Rows of silver per partition by hash of the mention, where one key can outweigh the others."""
+    return profiling.partition_balance(_silver(spark, sf_dir).repartition("mention"))
 
 
 # Application
@@ -363,10 +359,28 @@ def gold_model_scored(spark, sf_dir):
 @query
 def ml_scored(spark, sf_dir):
     """Gold by a pipeline fitted on the given labels, stored and loaded by name and stage."""
-    silver = _silver(spark, sf_dir)
+    frame = posts(spark, sf_dir)
+    labelled = frame.withColumn("cleaned_text", strip_mentions(F.col("text")))
     registry = new_run_folder(spark, "models")
-    publish_pipeline(fit_pipeline(silver), registry, "post-sentiment", "production")
-    return to_gold(silver, pipeline_scorer(registry, "post-sentiment"))
+    publish_pipeline(fit_pipeline(labelled), registry, "post-sentiment", "production")
+    return bronze_to_gold(frame, pipeline_scorer(registry, "post-sentiment"))
+
+
+@query
+def ml_scored_profile(spark, sf_dir):
+    """What holds for any fitted model: known labels, scores in range, one prediction per text."""
+    by_text = ml_scored(spark, sf_dir).groupBy("cleaned_text").agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("predicted_sentiment").isin("POS", "NEG", "NEU")).alias("known"),
+        F.count_if(F.col("predicted_score").between(0, 100)).alias("in_range"),
+        (F.count_distinct("predicted_sentiment", "predicted_score") > 1).alias("torn"),
+    )
+    return by_text.agg(
+        F.sum("rows").alias("rows"),
+        F.sum("known").alias("known_labels"),
+        F.sum("in_range").alias("scores_in_range"),
+        F.count_if("torn").alias("texts_with_two_predictions"),
+    )
 
 
 # Raw files
@@ -470,7 +484,7 @@ def incremental_ingest(spark, sf_dir):
     frame = posts(spark, sf_dir)
     files = landing_files(frame.count())
     layout = Layout(new_run_folder(spark, "incremental"))
-    landing, settings = layout.table("landing"), Settings(files_per_trigger=files)
+    landing, settings = layout.table("landing"), Settings()
     is_early = F.col("sentiment") != "negative"
 
     land(frame.filter(is_early), landing, files)
@@ -492,7 +506,7 @@ def schema_merge_read(spark, sf_dir):
     frame = posts(spark, sf_dir, "event_type")
     files = landing_files(frame.count())
     layout = Layout(new_run_folder(spark, "evolving"))
-    landing, settings = layout.table("landing"), Settings(files_per_trigger=files)
+    landing, settings = layout.table("landing"), Settings()
     is_early = F.col("sentiment") != "negative"
 
     land(frame.filter(is_early).drop("event_type"), landing, files)
@@ -510,7 +524,7 @@ def malformed_json_split(spark, sf_dir):
     frame = posts(spark, sf_dir)
     files = landing_files(frame.count())
     layout = Layout(new_run_folder(spark, "malformed"))
-    landing, settings = layout.table("landing"), Settings(files_per_trigger=files)
+    landing, settings = layout.table("landing"), Settings()
 
     line = F.to_json(F.struct(*RAW.names))
     broken = F.col("post_id") % 97 == 0
@@ -524,9 +538,70 @@ def malformed_json_split(spark, sf_dir):
     return as_rows.unionByName(as_lines)
 
 
+@query
+def nested_landing_ingest(spark, sf_dir):
+    """Posts landed at several depths, all of them read."""
+    frame = posts(spark, sf_dir)
+    files = landing_files(frame.count())
+    layout = Layout(new_run_folder(spark, "nested"))
+    landing = layout.table("landing")
+    is_early = F.col("sentiment") != "negative"
+    land(frame.filter(is_early), landing, files)
+    land(frame.filter(~is_early), f"{landing}/2026/12", files)
+    drain(stages.bronze_stream(spark, landing, layout, Settings()))
+    return tables.read_table(spark, layout.table("bronze"), BRONZE).select(*RAW.names)
+
+
+@query
+def chained_quarantine(spark, sf_dir):
+    """Layers run over lines of which some are broken: the mentions, and the lines put aside."""
+    frame = posts(spark, sf_dir)
+    layout = Layout(new_run_folder(spark, "quarantine"))
+    landing = layout.table("landing")
+    line = F.to_json(F.struct(*RAW.names))
+    broken = F.col("post_id") % 97 == 0
+    lines = frame.select(F.when(broken, F.rtrim(line, F.lit("}"))).otherwise(line).alias("value"))
+    lines.repartition(landing_files(frame.count())).write.text(landing)
+    stages.run_layers(spark, landing, layout, Settings())
+    gold = tables.read_table(spark, layout.table("gold"), GOLD)
+    good = gold.select("mention", "cleaned_text", F.lit(None).cast("string").alias("rejected_line"))
+    bad = stages.rejected_lines(spark, layout).select(
+        F.lit(None).cast("string").alias("mention"),
+        F.lit(None).cast("string").alias("cleaned_text"),
+        F.col("line").alias("rejected_line"),
+    )
+    return good.unionByName(bad)
+
+
+@query
+def table_versions(spark, sf_dir):
+    """The version of bronze: the last of its batches, which the files and the trigger fix."""
+    run = streamed_posts(spark, sf_dir)
+    run.bronze  # noqa: B018
+    version = tables.newest_batch(spark, run.layout.checkpoint("bronze"))
+    return run.bronze.groupBy().agg(F.lit(version).cast("bigint").alias("bronze_version"))
+
+
 # Tables and monitoring
 
 
+@query
+def throughput_of_events(spark, sf_dir):
+    """The throughput report over events taken as progress rows."""
+    event = spark.read.parquet(f"{sf_dir}/events.parquet")
+    number = F.col("event_id")
+    progress = event.select(
+        F.col("ts").cast("timestamp").alias("observed_at"),
+        F.col("event_type").alias("stream"),
+        number.alias("batch_id"),
+        (number % 13).alias("rows"),
+        F.when(number % 5 != 0, number % 700).alias("duration_ms"),
+    )
+    return monitor.throughput(progress).withColumn(
+        "slot_start", F.col("slot_start").cast("timestamp_ntz")
+    )
+
+
 @query
 def compacted_table(spark, sf_dir):
     run = streamed_posts(spark, sf_dir)

@@ -269,7 +269,7 @@ def oracle_sql() -> dict[str, str]:
           CAST(0 AS BIGINT) AS rows_without_file FROM posts""",
         "batches_per_stream": f"""
           WITH landed AS (SELECT {FILES} AS files FROM events),
-          rate AS (SELECT files, CAST(ceil(files * 5 / 12.0) AS BIGINT) AS per_batch FROM landed),
+          rate AS (SELECT files, CAST(10 AS BIGINT) AS per_batch FROM landed),
           batches AS (
             SELECT least(per_batch, files - start) AS files_in_batch
             FROM (SELECT *, unnest(range(0, files, per_batch)) AS start FROM rate))
@@ -290,5 +290,24 @@ def oracle_sql() -> dict[str, str]:
         "compacted_table": gold_rows,
         "stream_rows": f"""{silver} SELECT 'bronze_stream' AS stream, count(*) AS rows FROM posts
           UNION ALL SELECT 'silver_stream', count(*) FROM posts
-          UNION ALL SELECT 'gold_stream', count(*) FROM silver""",
+          UNION ALL SELECT 'gold_stream', count(*) FROM silver
+          UNION ALL SELECT 'application_stream', count(*) FROM silver""",
+        "nested_landing_ingest": raw_rows,
+        "chained_quarantine": rf"""{posts}
+          SELECT mention, {CLEANED} AS cleaned_text, NULL AS rejected_line
+          FROM (SELECT *, unnest(string_split({TOKEN_TEXT.format("text")}, ' ')) AS mention
+                FROM posts WHERE NOT is_broken)
+          WHERE regexp_matches(mention, '^@\w')
+          UNION ALL SELECT NULL, NULL, {LINE} FROM posts WHERE is_broken""",
+        "table_versions": f"""SELECT CAST(ceil({FILES} / 10.0) - 1 AS BIGINT) AS bronze_version
+          FROM events""",
+        "throughput_of_events": """
+          SELECT event_type AS stream,
+            make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS slot_start,
+            CAST(sum(event_id % 13) AS BIGINT) AS rows,
+            avg(CASE WHEN event_id % 5 <> 0 THEN event_id % 700 END) AS mean_duration_ms
+          FROM events GROUP BY ALL""",
+        "ml_scored_profile": f"""{silver}
+          SELECT count(*) AS rows, count(*) AS known_labels, count(*) AS scores_in_range,
+            CAST(0 AS BIGINT) AS texts_with_two_predictions FROM silver""",
     }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,17 +40,8 @@ class StreamedPosts:
 
     @cached_property
     def settings(self) -> Settings:
-        """Triggers of five twelfths of the files.
-
-        Rows are spread before scoring only while a trigger has fewer files than
-        there are cores; beyond that the scan keeps all cores busy without a shuffle.
-        """
-        files, cores = self._landed[1], self.spark.sparkContext.defaultParallelism
-        per_trigger = math.ceil(files * 5 / 12)
-        settings = Settings(
-            files_per_trigger=per_trigger,
-            scoring_partitions=cores if per_trigger < cores else None,
-        )
+        """The library's defaults: a fixed number of files per trigger, whatever the total."""
+        settings = Settings()
         configure(self.spark, settings)
         return settings
 
@@ -84,12 +74,12 @@ class StreamedPosts:
     @cached_property
     def application(self) -> DataFrame:
         self.gold  # noqa: B018
-        drain(application_stream(self.spark, self.layout, self.settings))
+        self._watched(application_stream, self.layout, self.settings)
         return read_application(self.spark, self.layout)
 
     @property
     def progress(self) -> DataFrame:
-        self.gold  # noqa: B018
+        self.application  # noqa: B018
         return read_table(self.spark, self._progress_path, STREAM_PROGRESS)
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -26,10 +25,12 @@ class Settings:
     model is applied; None keeps the partitions of the scan and needs no shuffle.
     ``arrow_batch_rows`` is the number of rows per batch handed to a Python model.
     ``shuffle_partitions`` is where a shuffle starts out before adaptive execution
-    joins small partitions; None leaves it to the session.
+    joins small partitions; None leaves it to the session. ``max_file_age`` is how much older
+    than the newest file seen a landing file may be and still be read; the default drops none.
     """
 
     files_per_trigger: int = 10
+    max_file_age: str = "36500d"
     bytes_per_trigger: str | None = None
     scoring_partitions: int | None = None
     arrow_batch_rows: int = 1000
@@ -42,6 +43,10 @@ class Settings:
             return {"maxBytesPerTrigger": self.bytes_per_trigger}
         return {"maxFilesPerTrigger": str(self.files_per_trigger)}
 
+    def source_options(self) -> dict[str, str]:
+        """Options of a stream over files: its rate, and no file left behind for its age."""
+        return self.rate_options() | {"maxFileAge": self.max_file_age}
+
 
 def configure(spark: SparkSession, settings: Settings | None = None) -> SparkSession:
     """Apply the session settings the results rely on."""
@@ -60,11 +65,10 @@ def new_run_folder(spark: SparkSession, purpose: str) -> str:
     """A folder name never used before, below the folder the cluster shares.
 
     Tables, stream checkpoints and models written there are reachable from every
-    executor. Only a local session may fall back to a folder of this machine.
+    executor. The folder is the one in ``spark.checkpoint.dir``; a session without that setting
+    uses a folder of the warehouse, ``spark.sql.warehouse.dir``, which is shared as well.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="chirplake-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

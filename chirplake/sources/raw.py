@@ -10,10 +10,15 @@ from chirplake.schemas import CORRUPT_RECORD, RAW
 from chirplake.settings import Settings
 
 
+# Landing folders may be nested, by date for example.
+NESTED = {"recursiveFileLookup": "true"}
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, length and time of change of each file; contents are not read."""
+    """Path, length and time of change of each file at any depth; contents are not read."""
     return (
         spark.read.format("binaryFile")
+        .options(**NESTED)
         .load(path)
         .select("path", "length", F.col("modificationTime").alias("modified"))
     )
@@ -27,17 +32,17 @@ def count_files(spark: SparkSession, path: str) -> DataFrame:
 
 def peek_json(spark: SparkSession, path: str) -> DataFrame:
     """Posts with the schema found in the files; for looking, not for pipelines."""
-    return spark.read.json(path)
+    return spark.read.options(**NESTED).json(path)
 
 
 def peek_text(spark: SparkSession, path: str, n: int | None = None) -> DataFrame:
     """The lines as they are, the first ``n`` of them if asked."""
-    lines = spark.read.text(path)
+    lines = spark.read.options(**NESTED).text(path)
     return lines if n is None else lines.limit(n)
 
 
 def raw_batch(spark: SparkSession, path: str, schema: StructType = RAW) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).options(**NESTED).json(path)
 
 
 def raw_stream(
@@ -50,7 +55,7 @@ def raw_stream(
     """
     return (
         spark.readStream.schema(schema)
-        .options(**settings.rate_options())
+        .options(**settings.source_options(), **NESTED)
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .json(path)
     )

@@ -28,7 +28,7 @@ def stream_table(
     spark: SparkSession, path: str, schema: StructType, settings: Settings
 ) -> DataFrame:
     """A table as a stream of what is appended to it; uncommitted files are not seen."""
-    return spark.readStream.schema(schema).options(**settings.rate_options()).parquet(path)
+    return spark.readStream.schema(schema).options(**settings.source_options()).parquet(path)
 
 
 def load_or_none(reader: DataFrameReader, path: str) -> DataFrame | None:

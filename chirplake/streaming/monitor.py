@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import threading
 from datetime import datetime
 
@@ -11,16 +12,23 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from chirplake.schemas import STREAM_PROGRESS
 
+_LOG = logging.getLogger(__name__)
+
 
 class ProgressLog(StreamingQueryListener):
     """Records every micro-batch of every stream, one row each.
 
     Use as a context manager around the streams to watch. Rows are held back and
-    appended together, at the latest when ``buffer_rows`` have come in.
+    appended together, at the latest after ``seconds`` or when ``buffer_rows`` have come in. Rows
+    whose write fails are held until the next one.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buffer_rows: int = 1000) -> None:
-        self.spark, self.path, self.buffer_rows = spark, path, buffer_rows
+    def __init__(
+        self, spark: SparkSession, path: str, buffer_rows: int = 1000, seconds: float = 10
+    ) -> None:
+        self.spark, self.path, self.buffer_rows, self.seconds = spark, path, buffer_rows, seconds
+        self._closing = threading.Event()
+        self._writing = threading.Lock()
         self._rows: list[tuple] = []
         self._ended: set[str] = set()
         self._changed = threading.Condition()
@@ -44,7 +52,7 @@ class ProgressLog(StreamingQueryListener):
             self._rows.append(row)
             full = len(self._rows) >= self.buffer_rows
         if full:
-            self.flush()
+            self._try_flush()
 
     def onQueryTerminated(self, event) -> None:
         with self._changed:
@@ -58,17 +66,39 @@ class ProgressLog(StreamingQueryListener):
                 raise TimeoutError(f"no end reported for stream {query.name}")
 
     def flush(self) -> None:
-        with self._changed:
-            rows, self._rows = self._rows, []
-        if rows:
-            table = self.spark.createDataFrame(rows, STREAM_PROGRESS)
-            table.coalesce(1).write.mode("append").parquet(self.path)
+        """Write what is held; if that fails, hold it again and raise."""
+        with self._writing:
+            with self._changed:
+                rows, self._rows = self._rows, []
+            if not rows:
+                return
+            try:
+                table = self.spark.createDataFrame(rows, STREAM_PROGRESS)
+                table.coalesce(1).write.mode("append").parquet(self.path)
+            except Exception:
+                with self._changed:
+                    self._rows = rows + self._rows
+                raise
+
+    def _try_flush(self) -> None:
+        try:
+            self.flush()
+        except Exception:
+            _LOG.exception("progress rows are held until they can be written")
+
+    def _flush_now_and_then(self) -> None:
+        while not self._closing.wait(self.seconds):
+            self._try_flush()
 
     def __enter__(self) -> ProgressLog:
         self.spark.streams.addListener(self)
+        self._flusher = threading.Thread(target=self._flush_now_and_then, daemon=True)
+        self._flusher.start()
         return self
 
     def __exit__(self, *failure) -> None:
+        self._closing.set()
+        self._flusher.join()
         self.spark.streams.removeListener(self)
         self.flush()
 

@@ -19,9 +19,9 @@ from pyspark.sql.types import StructType
 from chirplake.functions.scoring import Scorer, lexicon_scorer
 from chirplake.operators.application import application_partials, fold_partials, merge_partials
 from chirplake.operators.layers import to_bronze, to_gold, to_silver
-from chirplake.schemas import BRONZE, GOLD, RAW, SILVER, enforce
-from chirplake.settings import Settings
-from chirplake.sources.raw import raw_stream
+from chirplake.schemas import BRONZE, CORRUPT_RECORD, GOLD, RAW, SILVER, enforce
+from chirplake.settings import Settings, configure
+from chirplake.sources.raw import raw_stream, with_corrupt_record
 from chirplake.sources.tables import load_or_none, newest_batch, stream_table
 
 
@@ -111,10 +111,11 @@ def _application_partials(spark: SparkSession, layout: Layout, upto: int) -> Dat
     """The newest fold and the partials of the committed batches after it."""
     folded_upto, folded = _newest_fold(spark, layout)
     batch = F.col("batch_id")
-    later = spark.read.parquet(layout.table("application")).filter(
-        (batch > folded_upto) & (batch <= upto)
-    )
-    partials = later.drop("batch_id")
+    stored = load_or_none(spark.read.format("parquet"), layout.table("application"))
+    if stored is None:  # before the first batch
+        partials = application_partials(spark.createDataFrame([], GOLD))
+    else:
+        partials = stored.filter((batch > folded_upto) & (batch <= upto)).drop("batch_id")
     return partials if folded is None else partials.unionByName(spark.read.parquet(folded))
 
 
@@ -150,10 +151,26 @@ def run_layers(
     layout: Layout,
     settings: Settings,
     scorer: Scorer = lexicon_scorer,
+    schema: StructType | None = None,
 ) -> list[StreamingQuery]:
-    """Run the three stages in order, each after the one before has ended."""
+    """Run the three stages in order, each after the one before has ended.
+
+    The session gets the run's settings first. Bronze keeps the source of lines that are no
+    JSON, see ``rejected_lines``, unless ``schema`` says otherwise.
+    """
+    configure(spark, settings)
+    schema = with_corrupt_record(RAW) if schema is None else schema
     return [
-        drain(bronze_stream(spark, landing, layout, settings)),
+        drain(bronze_stream(spark, landing, layout, settings, schema)),
         drain(silver_stream(spark, layout, settings)),
         drain(gold_stream(spark, layout, settings, scorer)),
     ]
+
+
+def rejected_lines(spark: SparkSession, layout: Layout) -> DataFrame:
+    """(source_file, processing_time, line) of the landing lines that are no JSON."""
+    kept = StructType([*BRONZE.fields, *with_corrupt_record(StructType()).fields])
+    bronze = spark.read.schema(kept).parquet(layout.table("bronze"))
+    return bronze.where(F.col(CORRUPT_RECORD).isNotNull()).select(
+        "source_file", "processing_time", F.col(CORRUPT_RECORD).alias("line")
+    )

@@ -7,7 +7,7 @@ import re
 import pytest
 from helpers import plan_of
 
-from __spark_entry__ import queries
+from chirplake.plans.catalog import QUERIES
 from chirplake.operators import application as app
 from chirplake.operators import profiling
 from chirplake.operators.layers import bronze_to_gold, to_gold, to_silver
@@ -17,7 +17,7 @@ FROM_STREAMS = (
     "stream incremental schema_merge malformed compacted source_file batches rerun evaluation_run "
     "json_inferred text_line ml_scored file_size layer_row"
 ).split()
-BATCH = sorted(name for name in queries() if not any(part in name for part in FROM_STREAMS))
+BATCH = sorted(name for name in QUERIES if not any(part in name for part in FROM_STREAMS))
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,7 @@ def exchanges(df) -> int:
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_query_joins_or_broadcasts(spark, sf_dir, name):
-    plan = plan_of(queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for operator in ("CartesianProduct", "NestedLoopJoin", "BroadcastExchange", "BatchEvalPython"):
         assert operator not in plan
 

@@ -125,3 +125,20 @@ def test_pipeline_by_name_and_stage(spark, tmp_path):
     }
     assert all(0 <= score <= 1 for _, score in found.values())
     assert scored.columns == [*labelled.columns, PREDICTED]
+
+
+def test_a_model_is_loaded_once_per_process(spark, tmp_path):
+    """More tasks than workers: as many loads as processes."""
+    marks = str(tmp_path)
+
+    def load():
+        import os
+        import uuid
+
+        open(f"{marks}/{os.getpid()}-{uuid.uuid4().hex}", "w").close()
+        return load_lexicon_model()
+
+    frame = spark.range(64).repartition(32).selectExpr("cast(id as string) as text")
+    model_scorer(load)(frame, "text").collect()
+    loads = [mark.name.split("-")[0] for mark in tmp_path.iterdir()]
+    assert len(loads) == len(set(loads))

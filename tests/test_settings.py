@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import pytest
-
 from chirplake.settings import Settings, configure, new_run_folder
 
 
@@ -40,10 +38,11 @@ def test_run_folders_lie_in_the_shared_folder_of_the_cluster():
     assert first.startswith("hdfs://shared/scratch/x-")
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        new_run_folder(Session(spark_master="yarn"), "x")
+def test_without_it_they_lie_in_the_warehouse():
+    session = Session(spark_sql_warehouse_dir="hdfs://shared/warehouse/", spark_master="yarn")
+    assert new_run_folder(session, "x").startswith("hdfs://shared/warehouse/scratch/x-")
 
 
-def test_a_local_session_may_use_its_own_folder():
-    assert "/x-" in new_run_folder(Session(spark_master="local[2]"), "x")
+def test_streams_leave_no_old_file_behind():
+    assert Settings().source_options()["maxFileAge"] == "36500d"
+    assert Settings(max_file_age="2d").source_options()["maxFileAge"] == "2d"

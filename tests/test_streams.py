@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import json
+import os
 import shutil
+import time
 import uuid
+from datetime import datetime
 
 import pytest
 from helpers import assert_same_rows, rows
@@ -26,6 +29,7 @@ from chirplake.streaming.stages import (
     fold_application,
     gold_stream,
     read_application,
+    rejected_lines,
     run_layers,
     silver_stream,
 )
@@ -138,13 +142,55 @@ def test_broken_lines_are_put_aside_whole(spark, layout, landing):
     assert sorted(rows(bad, schemas.CORRUPT_RECORD)) == [('{"text": "@c"',), ("{bad",)]
 
 
-def test_broken_lines_become_empty_rows_by_default(spark, layout, landing):
+def test_the_chain_keeps_broken_lines(spark, layout, landing):
     add_file(landing, "{bad", post("@a"))
     run_layers(spark, str(landing), layout, FIVE)
-    assert sorted(rows(read(spark, layout, "bronze"), "text"), key=str) == [("@a",), (None,)]
+    assert rows(rejected_lines(spark, layout), "line") == [("{bad",)]
     assert rows(read(spark, layout, "gold"), "mention") == [("@a",)]
 
 
+def test_old_and_nested_files_are_read(spark, layout, landing):
+    add_file(landing, post("@new"))
+    drain(bronze_stream(spark, str(landing), layout, FIVE))
+    deep = landing / "2026" / "12"
+    deep.mkdir(parents=True)
+    add_file(deep, post("@deep"))
+    add_file(landing, post("@old"))
+    late = [f for f in landing.glob("*.json") if "@old" in f.read_text()]
+    long_ago = time.time() - 10 * 86_400
+    os.utime(late[0], (long_ago, long_ago))
+    for _ in range(2):
+        drain(bronze_stream(spark, str(landing), layout, FIVE))
+    found = sorted(rows(read(spark, layout, "bronze"), "text"))
+    assert found == [("@deep",), ("@new",), ("@old",)]
+    assert raw.count_files(spark, str(landing)).first().files == 3
+
+
+def test_ten_times_the_files_give_ten_times_the_batches(spark, landing, tmp_path):
+    def batches(files):
+        layout = Layout(str(tmp_path / f"lake-{files}"))
+        folder = landing / str(files)
+        folder.mkdir()
+        for i in range(files):
+            add_file(folder, post(f"@a {i}"))
+        drain(bronze_stream(spark, str(folder), layout, Settings(files_per_trigger=2)))
+        return tables.newest_batch(spark, layout.checkpoint("bronze")) + 1
+
+    assert (batches(2), batches(20)) == (1, 10)
+
+
+def test_the_chain_applies_its_settings(spark, layout, landing):
+    add_file(landing, post())
+    run_layers(spark, str(landing), layout, Settings(arrow_batch_rows=77))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "77"
+
+
+def test_the_application_table_is_empty_before_its_first_batch(spark, layout):
+    empty = read_application(spark, layout)
+    assert empty.columns == application_table(spark.createDataFrame([], schemas.GOLD)).columns
+    assert empty.isEmpty()
+
+
 def test_schema_is_enforced(spark):
     frame = spark.createDataFrame([("a", "b")], "mention string, cleaned_text string")
     with pytest.raises(ValueError, match="missing"):
@@ -269,6 +315,30 @@ def test_progress_table(spark, layout, landing, tmp_path):
     assert dict(rows(by_stream))["bronze_stream"] >= 3
 
 
+def test_progress_can_be_read_while_streams_run(spark, tmp_path):
+    path = str(tmp_path / "progress")
+    with monitor.ProgressLog(spark, path, seconds=0.5) as log:
+        with log._changed:
+            log._rows.append((datetime(2026, 1, 1), "s", 0, 5, 100))
+        until = time.time() + 30
+        while not (tmp_path / "progress" / "_SUCCESS").exists():
+            assert time.time() < until
+            time.sleep(0.2)
+        assert spark.read.parquet(path).count() == 1
+
+
+def test_progress_outlives_a_failed_write(spark, tmp_path):
+    blocked = tmp_path / "file"
+    blocked.write_text("")
+    log = monitor.ProgressLog(spark, str(blocked / "progress"))
+    log._rows.append((datetime(2026, 1, 1), "s", 0, 5, 100))
+    with pytest.raises(Exception):  # noqa: B017
+        log.flush()
+    log.path = str(tmp_path / "progress")
+    log.flush()
+    assert spark.read.parquet(log.path).count() == 1
+
+
 def test_throughput_leaves_missing_times_out(spark):
     progress = spark.createDataFrame(
         [("00:00:01", "s", 0, 5, 100), ("00:00:09", "s", 1, 7, None), ("00:00:10", "s", 2, 1, 40)],
