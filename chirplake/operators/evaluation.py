@@ -21,7 +21,7 @@ def _cell(actual: int, predicted: int) -> str:
     return f"cell_{actual}_{predicted}"
 
 
-def _cell_counts(gold: DataFrame) -> DataFrame:
+def cell_counts(gold: DataFrame) -> DataFrame:
     """One row holding a count for each pair of classes."""
     return gold.agg(
         *[
@@ -51,7 +51,12 @@ def classifier_metrics(gold: DataFrame) -> DataFrame:
     Rows whose given label is neither positive nor negative take no part: the
     measures are defined on two classes.
     """
-    cells = _cell_counts(gold).select(
+    return metrics_of_cells(cell_counts(gold))
+
+
+def metrics_of_cells(cells: DataFrame) -> DataFrame:
+    """``classifier_metrics`` from counts already taken."""
+    cells = cells.select(
         F.col(_cell(POSITIVE_ID, POSITIVE_ID)).alias("true_positive"),
         F.col(_cell(NEGATIVE_ID, POSITIVE_ID)).alias("false_positive"),
         F.col(_cell(POSITIVE_ID, NEGATIVE_ID)).alias("false_negative"),
@@ -64,6 +69,11 @@ def classifier_metrics(gold: DataFrame) -> DataFrame:
 
 def confusion_matrix(gold: DataFrame) -> DataFrame:
     """Rows per (given, predicted) class pair, pairs that never occur included."""
+    return matrix_of_cells(cell_counts(gold))
+
+
+def matrix_of_cells(cells: DataFrame) -> DataFrame:
+    """``confusion_matrix`` from counts already taken."""
     grid = [
         F.struct(
             F.lit(a).alias(ACTUAL), F.lit(p).alias(PREDICTED), F.col(_cell(a, p)).alias("rows")
@@ -71,7 +81,7 @@ def confusion_matrix(gold: DataFrame) -> DataFrame:
         for a in CLASS_IDS
         for p in CLASS_IDS
     ]
-    return _cell_counts(gold).select(F.inline(F.array(*grid)))
+    return cells.select(F.inline(F.array(*grid)))
 
 
 def per_class_metrics(gold: DataFrame) -> DataFrame:
@@ -88,7 +98,7 @@ def per_class_metrics(gold: DataFrame) -> DataFrame:
         named = [measure.alias(name) for name, measure in _measures(tp, fp, fn).items()]
         return F.struct(F.lit(c).alias("class_id"), *named, (tp + fn).alias("support"))
 
-    return _cell_counts(gold).select(F.inline(F.array(*[of_class(c) for c in CLASS_IDS])))
+    return cell_counts(gold).select(F.inline(F.array(*[of_class(c) for c in CLASS_IDS])))
 
 
 def evaluation_run(
@@ -97,8 +107,12 @@ def evaluation_run(
     params: dict[str, str],
     tags: dict[str, str] | None = None,
     artifacts: dict[str, str] | None = None,
+    cells: DataFrame | None = None,
 ) -> DataFrame:
-    """One evaluation as rows: its metrics, parameters, tags and stored artifacts."""
+    """One evaluation as rows: its metrics, parameters, tags and stored artifacts.
+
+    ``cells`` are the ``cell_counts`` of ``gold`` where they are at hand, and save a scan.
+    """
     metrics = [
         (F.lit("metric"), F.lit(name), F.col(name).cast("string"))
         for name in ("precision", "recall", "f1_score")
@@ -114,7 +128,8 @@ def evaluation_run(
             for kind, key, value in metrics + given
         ]
     )
-    run = classifier_metrics(gold).select(
+    metrics_row = classifier_metrics(gold) if cells is None else metrics_of_cells(cells)
+    run = metrics_row.select(
         F.lit(uuid.uuid4().hex).alias("run_id"), F.lit(run_name).alias("run_name"), F.inline(records)
     )
     return enforce(run, EVAL_RUN)

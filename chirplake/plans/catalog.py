@@ -304,23 +304,26 @@ def evaluation_run(spark, sf_dir):
     run = streamed_posts(spark, sf_dir)
     gold, home = run.gold, new_run_folder(spark, "evaluation")
     artifact = f"{home}/confusion_matrix"
-    evaluation.confusion_matrix(gold).write.parquet(artifact)
+    evaluation.cell_counts(gold).write.parquet(f"{home}/cells")
+    cells = spark.read.parquet(f"{home}/cells")
+    evaluation.matrix_of_cells(cells).write.parquet(artifact)
     rows = evaluation.evaluation_run(
         gold,
-        run_name="sentiment_evaluation",
+        run_name="post_scores",
         params={
-            "model_name": "lexicon",
-            "spark_version": spark.version,
-            "silver_table_version": str(
+            "scorer": "lexicon",
+            "engine_version": spark.version,
+            "silver_batch": str(
                 tables.newest_batch(spark, run.layout.checkpoint("silver"))
             ),
-            "gold_table_path": run.layout.table("gold"),
+            "scored_table": run.layout.table("gold"),
         },
-        tags={"task_type": "sentiment_analysis", "data_source": "posts", "evaluation_set": "gold"},
+        tags={"task": "post sentiment", "posts_from": "events", "layer": "gold"},
         artifacts={"confusion_matrix": artifact},
+        cells=cells,
     )
     evaluation.record_run(rows, f"{home}/runs")
-    varying = ["spark_version", "silver_table_version", "gold_table_path", "confusion_matrix"]
+    varying = ["engine_version", "silver_batch", "scored_table", "confusion_matrix"]
     is_metric = F.col("kind") == "metric"
     return tables.read_table(spark, f"{home}/runs").select(
         "run_name",
@@ -610,6 +613,23 @@ def compacted_table(spark, sf_dir):
     return tables.compact(spark, run.layout.table("gold"), target, Settings().target_file_bytes)
 
 
+@query
+def compacted_then_appended(spark, sf_dir):
+    """Bronze compacted between two arrivals and after them, then read whole."""
+    frame = posts(spark, sf_dir)
+    files = landing_files(frame.count())
+    layout = Layout(new_run_folder(spark, "compacting"))
+    landing, settings = layout.table("landing"), Settings()
+    table, size = layout.table("bronze"), settings.target_file_bytes
+    arrivals = ("positive", "neutral", "negative")
+    for sentiment in arrivals:
+        land(frame.filter(F.col("sentiment") == sentiment), landing, files)
+        drain(stages.bronze_stream(spark, landing, layout, settings))
+        if sentiment != arrivals[-1]:
+            tables.compact_table(spark, table, size, BRONZE)
+    return tables.read_current(spark, table, BRONZE).select(*RAW.names)
+
+
 @query
 def file_size_profile(spark, sf_dir):
     """Files and sizes per layer as the streams left them."""

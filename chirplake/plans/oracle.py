@@ -241,7 +241,7 @@ def oracle_sql() -> dict[str, str]:
               count(*) FILTER (sentiment_id = id AND predicted_sentiment_id <> id) AS fn
             FROM gold, {CLASSES} AS c(id) GROUP BY id)""",
         "evaluation_run": f"""{given}
-          SELECT 'sentiment_evaluation' AS run_name, kind, key, text_value, metric_value,
+          SELECT 'post_scores' AS run_name, kind, key, text_value, metric_value,
             TRUE AS is_set
           FROM (
             SELECT 'metric' AS kind, 'precision' AS key, NULL AS text_value,
@@ -249,10 +249,10 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'metric', 'recall', NULL, recall FROM metrics
             UNION ALL SELECT 'metric', 'f1_score', NULL, f1_score FROM metrics
             UNION ALL SELECT * FROM (VALUES
-              ('param', 'model_name', 'lexicon', NULL), ('param', 'spark_version', NULL, NULL),
-              ('param', 'silver_table_version', NULL, NULL), ('param', 'gold_table_path', NULL, NULL),
-              ('tag', 'task_type', 'sentiment_analysis', NULL), ('tag', 'data_source', 'posts', NULL),
-              ('tag', 'evaluation_set', 'gold', NULL), ('artifact', 'confusion_matrix', NULL, NULL)))""",
+              ('param', 'scorer', 'lexicon', NULL), ('param', 'engine_version', NULL, NULL),
+              ('param', 'silver_batch', NULL, NULL), ('param', 'scored_table', NULL, NULL),
+              ('tag', 'task', 'post sentiment', NULL), ('tag', 'posts_from', 'events', NULL),
+              ('tag', 'layer', 'gold', NULL), ('artifact', 'confusion_matrix', NULL, NULL)))""",
         "scorer_agreement": f"""{silver}
           SELECT count(*) AS rows, CAST(0 AS BIGINT) AS different FROM silver""",
         "source_file_totals": f"""{posts} SELECT {FILES} AS files,
@@ -288,6 +288,7 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN NOT is_broken THEN sentiment END AS sentiment,
             CASE WHEN is_broken THEN {LINE} END AS rejected_line FROM posts""",
         "compacted_table": gold_rows,
+        "compacted_then_appended": raw_rows,
         "stream_rows": f"""{silver} SELECT 'bronze_stream' AS stream, count(*) AS rows FROM posts
           UNION ALL SELECT 'silver_stream', count(*) FROM posts
           UNION ALL SELECT 'gold_stream', count(*) FROM silver

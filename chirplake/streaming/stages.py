@@ -25,6 +25,10 @@ from chirplake.sources.raw import raw_stream, with_corrupt_record
 from chirplake.sources.tables import load_or_none, newest_batch, stream_table
 
 
+# Batches whose partial results share a folder, so that a reader lists only the folders after a fold.
+BATCHES_PER_SPAN = 100
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the tables and checkpoints of one pipeline lie."""
@@ -83,11 +87,10 @@ def application_stream(spark: SparkSession, layout: Layout, settings: Settings)
     A batch writes its partial result to a folder of its own number, so a batch
     that is run twice replaces itself. No state is held between batches.
     """
-    target = layout.table("application")
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        partials = application_partials(batch)
-        partials.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        span = _span_folder(layout, batch_id // BATCHES_PER_SPAN)
+        application_partials(batch).write.mode("overwrite").parquet(f"{span}/batch_id={batch_id}")
 
     return (
         stream_table(spark, layout.table("gold"), GOLD, settings)
@@ -99,6 +102,10 @@ def application_stream(spark: SparkSession, layout: Layout, settings: Settings)
     )
 
 
+def _span_folder(layout: Layout, span: int) -> str:
+    return f"{layout.table('application')}/span={span}"
+
+
 def _newest_fold(spark: SparkSession, layout: Layout) -> tuple[int, str | None]:
     folds = load_or_none(spark.read.format("parquet"), layout.table("application_folds"))
     if folds is None:
@@ -108,14 +115,19 @@ def _newest_fold(spark: SparkSession, layout: Layout) -> tuple[int, str | None]:
 
 
 def _application_partials(spark: SparkSession, layout: Layout, upto: int) -> DataFrame:
-    """The newest fold and the partials of the committed batches after it."""
+    """The newest fold and the partials of the committed batches after it.
+
+    Only the spans with such batches are listed; those a fold covers whole may be deleted.
+    """
     folded_upto, folded = _newest_fold(spark, layout)
     batch = F.col("batch_id")
-    stored = load_or_none(spark.read.format("parquet"), layout.table("application"))
-    if stored is None:  # before the first batch
+    if upto <= folded_upto:  # nothing after the fold, or before the first batch
         partials = application_partials(spark.createDataFrame([], GOLD))
     else:
-        partials = stored.filter((batch > folded_upto) & (batch <= upto)).drop("batch_id")
+        spans = range((folded_upto + 1) // BATCHES_PER_SPAN, upto // BATCHES_PER_SPAN + 1)
+        reader = spark.read.option("basePath", layout.table("application"))
+        stored = reader.parquet(*[_span_folder(layout, span) for span in spans])
+        partials = stored.filter((batch > folded_upto) & (batch <= upto)).drop("span", "batch_id")
     return partials if folded is None else partials.unionByName(spark.read.parquet(folded))
 
 

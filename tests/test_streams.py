@@ -20,7 +20,7 @@ from chirplake.operators.layers import to_gold, to_silver
 from chirplake.plans.posts import land, posts
 from chirplake.settings import Settings
 from chirplake.sources import raw, tables
-from chirplake.streaming import monitor
+from chirplake.streaming import monitor, stages
 from chirplake.streaming.stages import (
     Layout,
     application_stream,
@@ -297,6 +297,49 @@ def test_compaction(spark, layout, landing, tmp_path):
     assert_same_rows(compacted, read(spark, layout, "bronze"))
 
 
+def test_a_compacted_table_goes_on(spark, layout, landing):
+    path, size = layout.table("bronze"), 10**9
+
+    def arrive(*texts):
+        for text in texts:
+            add_file(landing, post(text))
+        drain(bronze_stream(spark, str(landing), layout, FIVE))
+
+    def current():
+        return tables.read_current(spark, path, schemas.BRONZE)
+
+    arrive("@a", "@b", "@c")
+    assert len(current().inputFiles()) == 3
+    assert tables.compact_table(spark, path, size, schemas.BRONZE)
+    assert not tables.compact_table(spark, path, size, schemas.BRONZE)
+    assert sorted(rows(current(), "text")) == [("@a",), ("@b",), ("@c",)]
+    arrive("@d", "@a")
+    assert_same_rows(current(), read(spark, layout, "bronze"))
+    assert tables.compact_table(spark, path, size, schemas.BRONZE)
+    arrive("@e")
+    assert_same_rows(current(), read(spark, layout, "bronze"))
+    merged = dict(rows(current().select("text", F.input_file_name().alias("file"))))
+    assert "bronze_compacted" in merged["@d"] and "bronze_compacted" not in merged["@e"]
+    # A copy without its entry, as after a crash, is not read.
+    read(spark, layout, "bronze").write.parquet(f"{path}_compacted/broken-off")
+    assert_same_rows(current(), read(spark, layout, "bronze"))
+
+
+def test_readers_list_only_spans_after_a_fold(spark, layout, landing, monkeypatch):
+    monkeypatch.setattr(stages, "BATCHES_PER_SPAN", 2)
+    for i in range(5):
+        add_file(landing, post(f"@a {i} love"))
+        run_layers(spark, str(landing), layout, FIVE)
+        drain(application_stream(spark, layout, FIVE))
+        if i == 2:
+            assert fold_application(spark, layout) == 2
+            shutil.rmtree(f"{layout.table('application')}/span=0")
+        assert read_application(spark, layout).first().total == i + 1
+        if i == 3:
+            assert fold_application(spark, layout) == 3
+            assert read_application(spark, layout).first().total == 4
+
+
 def test_progress_table(spark, layout, landing, tmp_path):
     for i in range(3):
         add_file(landing, post(f"@a @b {i}"))
