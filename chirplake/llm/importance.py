@@ -22,7 +22,7 @@ from chirplake.llm.common import (
     checkpoint,
     in_order,
     offset_column,
-    part_offsets,
+    totals_before,
     whole_text,
     worker_cache,
 )
@@ -32,6 +32,8 @@ SMOOTHING = 1.0
 SEED = 42
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd constant that spreads bits
 MEMORY_WORDS = 400_000
+# Target documents the target counts are taken from at most.
+FIT_TARGETS = 200_000
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
@@ -124,7 +126,33 @@ def weigh(docs: DataFrame, model: ImportanceModel) -> DataFrame:
     ).select("doc_id", "tag", "w.*")
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = SEED) -> DataFrame:
+def _labelled(labels: DataFrame) -> DataFrame:
+    """(_labelled, target): each labelled document, and whether all its labels say good and not toxic."""
+    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+    return (
+        labels.where(F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").cast("long").alias("_labelled"))
+        .agg(F.min(F.coalesce(good, F.lit(False)).cast("int")).cast("boolean").alias("target"))
+    )
+
+
+def _bounded(targets: DataFrame, n: int, most: int, seed: int) -> DataFrame:
+    """The ids whose hash is below the share ``most / n`` of all hashes: all of them if they are no more.
+
+    About ``most`` ids stay, give or take a few times its square root.
+    """
+    cut = int(min(1.0, most / max(n, 1)) * ((1 << 53) - 1))
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "_labelled"), 11)
+    return targets.where(place <= cut).select("_labelled")
+
+
+def resample(
+    docs: DataFrame,
+    labels: DataFrame,
+    share: float | None = None,
+    seed: int = SEED,
+    fit_targets: int = FIT_TARGETS,
+) -> DataFrame:
     """(doc_id, n_features, log_weight, gumbel, rank, kept) of every row of ``docs``.
 
     The target are the documents labelled of good quality and not toxic; the raw text is all
@@ -132,35 +160,34 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     first. Left open, the share is that of the target among the labelled documents: 0 without labels.
     The noise is drawn from the hash of seed, id and text, so runs agree. Rows of one id and one text
     tie and are ranked one after the other. A document with several labels is a target if all of
-    them say so; null labels say no. A null text has weight 0.
+    them say so; null labels say no. A null text has weight 0, an empty table no rows, and a long text
+    is read whole.
+
+    The target counts come from about ``fit_targets`` target documents at most, those of the smallest
+    hashes; their ids alone are broadcast and no text is shuffled. The raw counts, the weights, the
+    ranks and the share are taken over all rows.
     """
-    good = (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
-    targets = (
-        labels.where(F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").cast("long").alias("_labelled"))
-        .agg(F.min(F.coalesce(good, F.lit(False)).cast("int")).cast("boolean").alias("target"))
-    )
-    targets = checkpoint(targets)
+    targets = checkpoint(_labelled(labels))
+    counted = targets.agg(
+        F.count_if("target").alias("targets"), F.avg(F.col("target").cast("double")).alias("share")
+    ).first()
+    chosen = _bounded(targets.where("target"), counted["targets"], fit_targets, seed)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text(F.col("text")).alias("text"))
-    labelled = slim.join(targets, slim["doc_id"] == targets["_labelled"], "left").select(
-        "text", F.coalesce("target", F.lit(False)).alias("target")
+    flagged = slim.join(F.broadcast(chosen), slim["doc_id"] == chosen["_labelled"], "left").select(
+        "text", F.col("_labelled").isNotNull().alias("target")
     )
-    model = fit(labelled)
+    model = fit(flagged)
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "tag"), 11).cast("double")
     uniform = (draw + F.lit(0.5)) / F.lit(float(1 << 53))
     drawn = weigh(docs, model).withColumn("gumbel", F.round(-F.log(-F.log(uniform)), 6))
-    drawn = drawn.withColumn("turned", -(F.col("log_weight") + F.col("gumbel")))
+    # Stored first, as putting rows in order looks at them twice.
+    drawn = checkpoint(drawn.withColumn("turned", -(F.col("log_weight") + F.col("gumbel"))))
     placed = in_order(drawn, "turned", "doc_id", "tag")
-    offsets = part_offsets(placed)
+    sizes = [(row["_part"], row["count"]) for row in placed.groupBy("_part").count().collect()]
     if share is None:
-        share = targets.agg(F.avg(F.col("target").cast("double"))).first()[0] or 0.0
-    n = placed.count()
-    ranked = placed.withColumn("rank", F.col("_row") + offset_column(offsets))
+        share = counted["share"] or 0.0
+    drawn_rows = round(share * sum(size for _, size in sizes))
+    ranked = placed.withColumn("rank", F.col("_row") + offset_column(totals_before(sizes)))
     return ranked.select(
-        "doc_id",
-        "n_features",
-        "log_weight",
-        "gumbel",
-        "rank",
-        (F.col("rank") < round(share * n)).alias("kept"),
+        "doc_id", "n_features", "log_weight", "gumbel", "rank", (F.col("rank") < drawn_rows).alias("kept")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -152,3 +153,46 @@ def url_rule(host, path):
 
 def crc(ids) -> int:
     return zlib.crc32(b"".join(int(i).to_bytes(4, "little") for i in ids))
+
+
+def spark_hash(*values, seed=42):
+    """The 64-bit hash of a row of ints, longs and strings, signed."""
+    for width, value in values:
+        if value is not None:
+            raw = value.encode() if width is None else value.to_bytes(width, "little", signed=True)
+            seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def word_buckets(text, buckets=10_000):
+    hashes = [xxhash.xxh64_intdigest(w, 0) for w in (text or "").translate(_LOWER).encode().split()]
+    out = [h % buckets for h in hashes]
+    for a, b in zip(hashes, hashes[1:], strict=False):
+        pair = (a * 0x9E3779B97F4A7C15 % 2**64) ^ ((b + (a >> 7)) % 2**64)
+        out.append((pair ^ (pair >> 29)) % buckets)
+    return out
+
+
+def importance(docs, labels, seed=42, buckets=10_000):
+    """Of (doc_id, text) and (doc_id, quality, toxic): (doc_id, n_features, log_weight, gumbel, rank, kept)."""
+    good = {}
+    for doc, quality, toxic in labels:
+        if doc is not None:
+            good[doc] = good.get(doc, True) and quality == 1 and not toxic
+    counts = [[1.0] * buckets, [1.0] * buckets]
+    for doc, text in docs:
+        for bucket in word_buckets(text):
+            counts[0][bucket] += 1
+            counts[1][bucket] += good.get(doc, False)
+    raw, target = map(sum, counts)
+    rows = []
+    for doc, text in docs:
+        found = word_buckets(text)
+        weight = math.fsum(math.log(counts[1][b] / target) - math.log(counts[0][b] / raw) for b in found)
+        tag = spark_hash((None, text or ""))
+        draw = (spark_hash((4, seed), (8, doc), (8, tag)) % 2**64) >> 11
+        gumbel = round(-math.log(-math.log((draw + 0.5) / 2**53)), 6)
+        rows.append((doc, len(found), round(weight, 6), gumbel, tag))
+    rows.sort(key=lambda r: (-(r[2] + r[3]), r[0] is not None, r[0] or 0, r[4]))
+    most = round(sum(good.values()) / len(good) * len(rows)) if good else 0
+    return [(*row[:4], rank, rank < most) for rank, row in enumerate(rows)]
