@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from chirplake.llm.common import checkpoint, in_order, part_offsets, whole_text
+from chirplake.llm.common import checkpoint, in_order, part_offsets, text_tag, whole_text
 from chirplake.llm.encoders import byte_encoder
 
 END_ID = 0
@@ -31,7 +31,7 @@ def _encoder(path: str, end_id: int):
     @arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         encoder = byte_encoder(path)
-        encoded = [encoder.encode(text) + end for text in texts.to_pylist()]
+        encoded = [ids + end for ids in encoder.encode_all(texts.to_pylist())]
         offsets = np.zeros(len(encoded) + 1, np.int32)
         np.cumsum([len(ids) // 4 for ids in encoded], out=offsets[1:])
         values = pa.array(np.frombuffer(b"".join(encoded), "<i4"))
@@ -44,15 +44,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     """Encode all texts and write them at ``path``.
 
     Each document's ids end with ``end_id``; a null text is empty. Rows are sorted over all files:
-    by id, null ids first, and rows of one id by their text.
+    by id, null ids first, and rows of one id by ``tag``, the hash of their text, which the files keep.
+    An empty table gives files without rows; a long text is encoded whole and stored as one row.
     """
     text = whole_text(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    keys = (F.col("doc_id"), F.xxhash64("text"))
-    placed = rows.repartitionByRange(*keys).sortWithinPartitions("doc_id", "text")
+    keys = ("doc_id", "tag")
+    placed = rows.withColumn("tag", text_tag(F.col("text"))).repartitionByRange(*keys).sortWithinPartitions(*keys)
     encode = _encoder(tokenizer, end_id)
     (
-        placed.select("doc_id", encode("text").alias("ids"))
+        placed.select(*keys, encode("text").alias("ids"))
         .write.option("compression", "zstd")
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.row.index.stride", ROWS_PER_INDEX)
@@ -64,7 +65,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("doc_id long, ids array<int>").orc(path)
+    return spark.read.schema("doc_id long, tag long, ids array<int>").orc(path)
 
 
 @arrow_udf(LongType())
@@ -104,14 +105,14 @@ def token_spans(tokens: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each stored document.
 
     ``start`` counts the ids of all documents before it, ``ids_crc32`` is the checksum of its ids
-    as little-endian 32-bit numbers. Only four numbers per document are put in order, and only
-    the sum of each partition comes to the driver.
+    as little-endian 32-bit numbers. The order is that of the files. Only four numbers per document
+    are put in order, and only the sum of each partition comes to the driver.
     """
     read = tokens.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), _crc32("ids").alias("ids_crc32")
+        "doc_id", "tag", F.size("ids").cast("long").alias("n_tokens"), _crc32("ids").alias("ids_crc32")
     )
     # Stored first, as putting rows in order looks at them twice.
-    placed = in_order(checkpoint(read), "doc_id", "n_tokens", "ids_crc32")
+    placed = in_order(checkpoint(read), "doc_id", "tag")
     offsets = part_offsets(placed, F.col("n_tokens"))
     columns = placed.select("doc_id", "n_tokens", "ids_crc32", "_part")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"

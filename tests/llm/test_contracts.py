@@ -188,6 +188,18 @@ def test_op10(spark, data):
     assert kept == sorted(kept, reverse=True)
 
 
+def test_op10_weights_noise_and_cut(spark, data):
+    labels = [tuple(r) for r in spark.read.parquet(f"{data}/labels.parquet").collect()]
+    wanted = sorted(brute.importance(texts(spark, data), labels), key=repr)
+    found = sorted(result(spark, "op10_importance", data), key=repr)
+    assert len(found) == len(wanted)
+    by_rank = {row[4]: row for row in wanted}
+    for row in found:
+        other = by_rank[row[4]]
+        assert (row[0], row[1], row[5]) == (other[0], other[1], other[5])
+        assert row[2:4] == pytest.approx(other[2:4], abs=2e-6)
+
+
 @pytest.mark.parametrize("name", list(q.QUERIES))
 def test_empty_tables(name, spark, empty):
     assert q.QUERIES[name](spark, empty).collect() == []

@@ -24,6 +24,7 @@ from chirplake.llm import (
 )
 from chirplake.llm import queries as q
 from chirplake.llm.components import components
+from chirplake.llm.encoders import ByteEncoder
 from chirplake.llm.gray_index import gray_code, gray_rank, group_cells
 
 RNG = random.Random(7)
@@ -136,6 +137,36 @@ def unigram(model: bytes) -> bytes:
     return proto.SerializeToString()
 
 
+def test_rows_of_one_id_are_spanned_as_they_lie_in_the_files(spark, tmp_path):
+    docs = [(1, "a b c d e"), (1, "z"), (1, "z"), (1, None), (None, "x y"), (2, "m n"), (0, "q" * 300_000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    path = f"{tmp_path}/o"
+    token_orc.write_tokens(frame, path, q.tokenizer_file(q.BYTE_TOKENIZER))
+    stored = []
+    for file in sorted(tmp_path.glob("o/*.orc")):
+        stored += [r["ids"] for r in spark.read.orc(str(file)).coalesce(1).collect()]
+    stream = [i for ids in stored for i in ids]
+    spans = token_orc.token_spans(token_orc.read_tokens(spark, path)).collect()
+    assert len(spans) == len(docs)
+    assert sorted((s["start"], s["n_tokens"]) for s in spans) == [
+        (sum(map(len, stored[:i])), len(ids)) for i, ids in enumerate(stored)
+    ]
+    for span in spans:
+        ids = stream[span["start"] : span["start"] + span["n_tokens"]]
+        assert ids[-1] == 0 and brute.crc(ids) == span["ids_crc32"]
+
+
+def test_tokenizers_that_change_the_text_are_refused():
+    with pytest.raises(ValueError, match="as it is"):
+        ByteEncoder(q.tokenizer_file("word_bpe_49k.json"))
+
+
+def test_fit_on_a_bounded_part_of_the_targets(spark):
+    targets = spark.range(10_000).select(F.col("id").alias("_labelled"))
+    assert importance._bounded(targets, 10_000, 10_000, 42).count() == 10_000
+    assert 800 < importance._bounded(targets, 10_000, 1_000, 42).count() < 1_200
+
+
 @pytest.mark.parametrize("kind", ["pairs", "unigram"])
 def test_shortest_path_is_the_library_encoding(kind):
     with open(q.tokenizer_file(q.PIECE_MODEL), "rb") as file:
