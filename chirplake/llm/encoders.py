@@ -2,8 +2,7 @@
 
 Both split a text where no token can reach across, encode each different chunk once with the
 tokenizer's library and put the ids together again. The memory belongs to the worker process
-and is emptied when it is full. The byte-level one looks through some texts at a time, so that the
-chunks it has not met go to the library together.
+and is emptied when it is full.
 """
 
 from __future__ import annotations
@@ -11,7 +10,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import pairwise
+import sys
+from array import array
 
 import numpy as np
 
@@ -19,9 +19,6 @@ from chirplake.llm.common import worker_cache
 
 MEMORY_CHUNKS = 1_200_000
 LONGEST_REMEMBERED = 48
-# Texts looked through together, by characters, and new chunks given to the library at once.
-CHARS_TOGETHER = 1 << 20
-LEARNED_TOGETHER = 10_000
 
 # One white-space character next to another: the byte-level rule looks across such runs.
 _RUN = re.compile(r"\s\s")
@@ -30,7 +27,8 @@ _ALONE = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _MARK = "\x00"
 # Letters any version of Unicode knows.
 _LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ƺ]+")
-_AFTER_LETTERS = (".", ",", "!", "?")
+# What ends a run of letters and is a run of its own; the apostrophe begins endings.
+_AFTER_LETTERS = ".,!?;:#$%&*|<>()"
 
 
 def _is_letters(chunk: str) -> bool:
@@ -72,7 +70,7 @@ def _byte_level_model(path: str):
 
 
 class ByteEncoder(dict):
-    """Texts' ids under a byte-level tokenizer file, as little-endian 32-bit numbers.
+    """A text's ids under a byte-level tokenizer file, as little-endian 32-bit numbers.
 
     The file is that of the tokenizers library. Texts that hold one of its added tokens as
     plain text go to the library whole.
@@ -97,74 +95,39 @@ class ByteEncoder(dict):
             shown = self.space + chunk[1:] if chunk[0] == " " else chunk
         else:
             shown = chunk.encode().decode("latin-1").translate(_SHOWN_BYTES)
-        return np.array([token.id for token in self.merges.tokenize(shown)], "<u4").tobytes()
+        ids = array("I", [token.id for token in self.merges.tokenize(shown)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def library(self, text: str) -> bytes:
         return np.array(
             self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4"
         ).tobytes()
 
-    def library_each(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each of several chunks, taken as words of one text that were split before."""
-        encoded = self.tokenizer.encode(chunks, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4")
-        edges = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(chunks) + 1))
-        return [ids[a:b].tobytes() for a, b in pairwise(edges.tolist())]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Remember the ids of chunks not met before."""
-        if len(self) + len(chunks) > MEMORY_CHUNKS:
-            self.clear()
-        self[""] = b""
-        others, marked = [], []
-        for chunk in chunks:
-            if _is_letters(chunk):
-                self[chunk] = self.letters(chunk)
-            elif chunk[-1:] in _AFTER_LETTERS and _is_letters(chunk[:-1]):
-                marked.append(chunk)
-            elif chunk:
-                others.append(chunk)
-        for chunk in marked:
-            word, mark = chunk[:-1], chunk[-1]
-            ids = self.get(word) or self.letters(word)
-            if mark not in self:
-                self[mark] = self.library(mark)
-            self[chunk] = ids + self[mark]
-        for at in range(0, len(others), LEARNED_TOGETHER):
-            some = others[at : at + LEARNED_TOGETHER]
-            self.update(zip(some, self.library_each(some), strict=True))
-
-    def forget_long(self, chunks: set[str]) -> None:
-        for chunk in chunks:
-            if len(chunk) > LONGEST_REMEMBERED:
-                self.pop(chunk, None)
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text; texts are looked through in groups of a bounded number of characters."""
-        out, group, size = [], [], 0
-        for text in texts:
-            group.append(text)
-            size += len(text)
-            if size >= CHARS_TOGETHER:
-                out += self._encode_group(group)
-                group, size = [], 0
-        return out + self._encode_group(group)
-
-    def _encode_group(self, texts: list[str]) -> list[bytes]:
-        whole = [any(token in text for token in self.added) for text in texts]
-        split = [[] if by_library else self.chunks(text) for text, by_library in zip(texts, whole, strict=True)]
-        met = set().union(*split)
-        new = met.difference(self)
-        if len(self) + len(new) > MEMORY_CHUNKS:
-            new = met
-        self.learn(new)
-        ids = [
-            self.library(text) if by_library else b"".join(map(self.__getitem__, chunks))
-            for text, by_library, chunks in zip(texts, whole, split, strict=True)
-        ]
-        self.forget_long(new)
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk.rstrip(_AFTER_LETTERS)
+        if not _is_letters(word):
+            ids = self.library(chunk) if chunk else b""
+        elif len(word) == len(chunk):
+            ids = self.letters(chunk)
+        else:
+            # A word met for the first time is remembered alone: most such pairs do not come again.
+            known = word in self
+            ids = self[word] + self[chunk[len(word) :]]
+            if not known:
+                return ids
+        if len(chunk) <= LONGEST_REMEMBERED:
+            if len(self) >= MEMORY_CHUNKS:
+                self.clear()
+            self[chunk] = ids
         return ids
 
+    def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self.library(text)
+        return b"".join(map(self.__getitem__, self.chunks(text)))
+
 
 class PieceEncoder(dict):
     """A text's ids under a sentencepiece model without a piece that spans a word start.
