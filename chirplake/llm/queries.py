@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chirplake.llm import (
+    bag_search,
     decontaminate,
     host_rules,
     importance,
@@ -18,6 +19,7 @@ from chirplake.llm import (
     token_orc,
     token_scan,
     url_filter,
+    whitening,
 )
 from chirplake.llm.common import prepare, table
 from chirplake.settings import new_run_folder
@@ -133,17 +135,33 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, table(spark, sf_dir, "labels"))
 
 
+def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each benchmark item's ten best documents."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    found = bag_search.search(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", F.col("doc_id").cast("long").alias("doc_id"), "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector's first whitened components, with the figures that certify them."""
+    return whitening.whiten(table(prepare(spark), sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_line_dedup, op2_url_filter, op3_token_orc, op4_token_counts, op5_simhash,
         op6_sentencepiece, op7_decontaminate, op8_host_rules, op9_rendezvous, op10_importance,
+        op12_bag_search, op13_whitening,
     )
 }
 
 _KEY = r"""regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '^[\x09-\x0D ]+|[\x09-\x0D ]+$', '', 'g')"""
 
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": rf"""
 WITH split AS (
@@ -161,4 +179,34 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op12_bag_search": rf"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS terms
+  FROM documents
+), docs AS (
+  SELECT doc, doc_id, terms, len(terms) AS n FROM doc_terms WHERE len(terms) > 0
+), totals AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM docs
+), item_terms AS (
+  SELECT item, item_id, unnest(list_distinct(terms)) AS term
+  FROM (SELECT row_number() OVER () AS item, item_id,
+          regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS terms FROM benchmark)
+), postings AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY doc, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term
+), gains AS (
+  SELECT p.doc, d.doc_id, p.term,
+    w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * t.docs) // t.terms))) AS gain
+  FROM postings p JOIN weights USING (term) JOIN docs d USING (doc), totals t
+), scores AS (
+  SELECT item, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, CAST(sum(gain) AS BIGINT) AS score
+  FROM item_terms JOIN gains USING (term) GROUP BY item, doc
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }

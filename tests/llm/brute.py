@@ -196,3 +196,30 @@ def importance(docs, labels, seed=42, buckets=10_000):
     rows.sort(key=lambda r: (-(r[2] + r[3]), r[0] is not None, r[0] or 0, r[4]))
     most = round(sum(good.values()) / len(good) * len(rows)) if good else 0
     return [(*row[:4], rank, rank < most) for rank, row in enumerate(rows)]
+
+
+def bag_search(docs, items, best=10):
+    """Of (doc_id, text) and (item_id, text): (item_id, rank, doc_id, score), every row a document."""
+
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(_LOWER))
+
+    counted = [(doc, len(found), Counter(found)) for doc, text in docs if (found := terms(text))]
+    n_docs, n_terms = len(counted), sum(n for _, n, _ in counted)
+    held = Counter(term for _, _, tf in counted for term in tf)
+    out = []
+    for item, text in items:
+        scores = []
+        for doc, n, tf in counted:
+            m = 10 + 90 * n * n_docs // n_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * held[t] + 1)))
+                * (1_000_000_000 * tf[t] // (1000 * tf[t] + 8 * m))
+                for t in set(terms(text))
+                if t in tf
+            )
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, doc))
+        scores.sort(key=lambda s: s[:3])
+        out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(scores[:best], 1)]
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import defaultdict
 
@@ -70,13 +71,22 @@ def awkward(spark, tmp_path_factory):
     spark.createDataFrame(pages, "page_id long, url string, html string").withColumn(
         "word", F.lit("clash")
     ).write.parquet(f"{folder}/pages.parquet")
+    inf, nan = float("inf"), float("nan")
+    vectors = [
+        (1, [0.5, -0.25, 0.125]), (1, [0.5, -0.25, 0.125]), (2, None), (3, []), (4, [1.0, None, 2.0]),
+        (5, [inf, 0.0, 0.0]), (6, [nan, 0.0, 0.0]), (7, [0.25, 9.0, -3.5]), (None, [1.5, 2.5, 100.0]),
+        (8, [-1e-9, 0.0, 7.0]), (9, [0.1, 0.2, 0.3]), (10, [4.0, -4.0, 0.0]),
+    ]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumn(
+        "ids", F.lit("clash")
+    ).repartition(3).write.parquet(f"{folder}/embeddings.parquet")
     return str(folder)
 
 
 @pytest.fixture(scope="module")
 def empty(spark, awkward, tmp_path_factory):
     folder = tmp_path_factory.mktemp("empty")
-    for name in ("documents", "benchmark", "labels", "pages"):
+    for name in ("documents", "benchmark", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{awkward}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return str(folder)
 
@@ -200,6 +210,40 @@ def test_op10_weights_noise_and_cut(spark, data):
         assert row[2:4] == pytest.approx(other[2:4], abs=2e-6)
 
 
+def test_op12(spark, data):
+    items = texts(spark, data, "benchmark", "item_id")
+    same(result(spark, "op12_bag_search", data), brute.bag_search(texts(spark, data), items))
+
+
+def whitened(vectors):
+    """Of (vec_id, vector): the whole numbers, their eigenvalues and components, by numpy alone."""
+    good = [(i, v) for i, v in vectors if v and all(c is not None and np.isfinite(c) for c in v)]
+    x = np.array([[math.floor(1024 * float(c)) + 100_000 for c in v] for _, v in good])
+    centred = x - x.mean(0)
+    values, turn = np.linalg.eigh(centred.T @ centred / len(x))
+    return [i for i, _ in good], x, values[::-1], turn[:, ::-1]
+
+
+def test_op13(spark, data):
+    vectors = [tuple(r) for r in spark.read.parquet(f"{data}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    ids, x, values, turn = whitened(vectors)
+    n, size = len(x), min(8, int((values > 1e-9 * values[0]).sum()))
+    deviations = ((n * x - x.sum(0)) ** 2).sum(1)
+    z = (x - x.sum(0) / n) @ turn[:, :size] / np.sqrt(values[:size])
+    wanted = [(ids[at], c + 1, n, deviations[at], z[at, c]) for at in range(n) for c in range(size)]
+    key = lambda row: (row[0] is not None, row[0] or 0, row[3], row[1])
+    found = sorted(result(spark, "op13_whitening", data), key=key)
+    assert [row[:4] for row in found] == [row[:4] for row in sorted(wanted, key=key)]
+    signs = defaultdict(set)
+    for row, (_, component, _, _, value) in zip(found, sorted(wanted, key=key), strict=True):
+        assert abs(row[4]) == pytest.approx(abs(value), abs=1e-8)
+        assert row[5] == pytest.approx(values[component - 1] / values.sum(), rel=1e-9)
+        assert row[6] < 1e-8
+        if abs(value) > 1e-6:
+            signs[component].add(np.sign(row[4] * value))
+    assert all(len(both) == 1 for both in signs.values())
+
+
 @pytest.mark.parametrize("name", list(q.QUERIES))
 def test_empty_tables(name, spark, empty):
     assert q.QUERIES[name](spark, empty).collect() == []

@@ -11,6 +11,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from chirplake.llm import (
+    bag_search,
     decontaminate,
     host_rules,
     importance,
@@ -21,6 +22,7 @@ from chirplake.llm import (
     token_orc,
     token_scan,
     url_filter,
+    whitening,
 )
 from chirplake.llm import queries as q
 from chirplake.llm.components import components
@@ -267,3 +269,59 @@ def test_resampling_prefers_the_target_on_held_out_documents(spark):
     drawn = importance.resample(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     held_out = [r for r in drawn.collect() if r["doc_id"] >= 400]
     assert sum(r["kept"] == bool(r["doc_id"] % 4) for r in held_out) / len(held_out) > 0.98
+
+
+def test_search_in_many_item_blocks_and_small_parts(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 300")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("item_id < 20")
+    monkeypatch.setattr(bag_search, "HELD_AT_ONCE", 300)
+    found = bag_search.search(docs, items, best=4, postings=150)
+    wanted = brute.bag_search(
+        pairs(docs, "doc_id", "text"), pairs(items, "item_id", "text"), best=4
+    )
+    assert len(list(bag_search.item_blocks(items, 150))) > 3
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
+def test_search_expands_a_class_of_many_copies_by_id(spark):
+    docs = [(i, "red green blue" if i % 3 else f"red {i} x") for i in range(900)] + [(5000, "green"), (None, "red green blue")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    items = spark.createDataFrame([(1, "Red GREEN"), (2, "blue"), (3, "nothing"), (4, "x"), (4, "x")], "item_id long, text string")
+    found = sorted(map(tuple, bag_search.search(frame, items).collect()))
+    assert found == sorted(brute.bag_search(docs, items.collect()))
+    found = bag_search.bags(frame, bag_search._shared(frame, {b"red": 0, b"green": 1, b"blue": 2, b"x": 3}))
+    sizes = bag_search.classes(found, 902, 2707).select("members").collect()
+    assert sorted(r[0] for r in sizes) == [1, 300, 601]
+
+
+@pytest.mark.parametrize("dim, rank", [(40, 40), (40, 5), (60, 30), (3, 2)])
+def test_filtered_iteration_finds_the_leading_vectors(dim, rank):
+    rng = np.random.default_rng(dim + rank)
+    values = np.zeros(dim)
+    values[:rank] = 5 + np.sort(rng.random(rank))[::-1]
+    turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
+    whole = (turn * values) @ turn.T
+    found, vectors = whitening.leading(lambda columns: whole @ columns, dim, 8)
+    size = min(8, rank)
+    assert found[:size] == pytest.approx(values[:size], rel=1e-12)
+    assert np.abs(whole @ vectors - vectors * found).max() < 1e-12 * values[0] * dim
+
+
+def test_whitening_of_wide_numbers_and_other_lengths(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(c) for c in rng.standard_normal(40) * 1e7]) for i in range(300)]
+    rows += [(1000, [1.0, 2.0]), (1001, [1e300] * 40)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = whitening.whiten(frame, components=3).collect()
+    assert {r["vec_id"] for r in found} == set(range(300)) and len(found) == 900
+    x = np.floor(1024 * np.array([v for _, v in rows[:300]])).astype(np.int64) + 100_000
+    sums = [sum(column) for column in zip(*x.tolist(), strict=True)]
+    deviation = {i: sum((300 * c - s) ** 2 for c, s in zip(row, sums, strict=True)) for i, row in enumerate(x.tolist())}
+    assert all(r["deviation"] == (d if (d := deviation[r["vec_id"]]) < 1 << 63 else None) for r in found)
+    z = np.array([r["whitened"] for r in sorted(found, key=lambda r: (r["vec_id"], r["component"]))]).reshape(300, 3)
+    assert np.abs(z.T @ z / 300 - np.eye(3)).max() < 1e-9 and found[0]["identity_error"] < 1e-9
+
+
+def test_whitening_without_variance_gives_no_rows(spark):
+    for rows in ([(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        assert whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect() == []
