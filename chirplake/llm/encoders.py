@@ -31,12 +31,18 @@ _LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ƺ]+")
 _AFTER_LETTERS = ".,!?;:#$%&*|<>()"
 
 
-def _is_letters(chunk: str) -> bool:
+def is_letters(chunk: str) -> bool:
     if chunk.isascii():
         return chunk.isalpha() or (chunk[:1] == " " and chunk[1:].isalpha())
     return _LETTERS.fullmatch(chunk) is not None
 
 
+def trailing_marks(chunk: str) -> tuple[str, str]:
+    """A chunk without the marks at its end, and those."""
+    word = chunk.rstrip(_AFTER_LETTERS)
+    return word, chunk[len(word) :]
+
+
 def _shown_bytes() -> dict[int, int]:
     """The signs byte-level vocabularies write for bytes: printable Latin-1 stands for itself, the
     others are numbered from 256."""
@@ -106,15 +112,15 @@ class ByteEncoder(dict):
         ).tobytes()
 
     def __missing__(self, chunk: str) -> bytes:
-        word = chunk.rstrip(_AFTER_LETTERS)
-        if not _is_letters(word):
+        word, marks = trailing_marks(chunk)
+        if not is_letters(word):
             ids = self.library(chunk) if chunk else b""
-        elif len(word) == len(chunk):
+        elif not marks:
             ids = self.letters(chunk)
         else:
             # A word met for the first time is remembered alone: most such pairs do not come again.
             known = word in self
-            ids = self[word] + self[chunk[len(word) :]]
+            ids = self[word] + self[marks]
             if not known:
                 return ids
         if len(chunk) <= LONGEST_REMEMBERED:

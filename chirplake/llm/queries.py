@@ -14,6 +14,7 @@ from chirplake.llm import (
     importance,
     line_dedup,
     piece_fst,
+    rank_fold,
     rendezvous,
     simhash,
     token_orc,
@@ -34,6 +35,7 @@ URL_RULES = (
 SHARDS = 40
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_file(name: str) -> str:
@@ -135,6 +137,19 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(docs, table(spark, sf_dir, "labels"))
 
 
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's ids as number and checksum, and the checksum of the bytes they decode to."""
+    docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
+    ranks = tokenizer_file(RANKS)
+    decoded = rank_fold.decode(rank_fold.encode(docs, ranks), ranks)
+    return decoded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op12_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each benchmark item's ten best documents."""
     docs = table(prepare(spark), sf_dir, "documents")
@@ -152,7 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_line_dedup, op2_url_filter, op3_token_orc, op4_token_counts, op5_simhash,
         op6_sentencepiece, op7_decontaminate, op8_host_rules, op9_rendezvous, op10_importance,
-        op12_bag_search, op13_whitening,
+        op11_rank_bpe, op12_bag_search, op13_whitening,
     )
 }
 

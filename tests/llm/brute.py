@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import re
@@ -223,3 +224,18 @@ def bag_search(docs, items, best=10):
         scores.sort(key=lambda s: s[:3])
         out += [(item, rank, s[3], -s[0]) for rank, s in enumerate(scores[:best], 1)]
     return out
+
+
+def rank_encoding(path):
+    """The library's encoding of a file of ranks."""
+    with open(path, "rb") as file:
+        return tiktoken_of({base64.b64decode(a): int(b) for a, b in map(bytes.split, file)})
+
+
+def tiktoken_of(ranks):
+    import public_tokenizers
+    import tiktoken
+
+    return tiktoken.Encoding(
+        "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )

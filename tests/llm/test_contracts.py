@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import defaultdict
@@ -210,6 +211,15 @@ def test_op10_weights_noise_and_cut(spark, data):
         assert row[2:4] == pytest.approx(other[2:4], abs=2e-6)
 
 
+def test_op11(spark, data):
+    library = brute.rank_encoding(q.tokenizer_file(q.RANKS))
+    wanted = []
+    for doc, text in texts(spark, data):
+        ids = np.array(library.encode_ordinary(text or ""), "<u4").tobytes()
+        wanted.append((doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), brute.sha(text or "")))
+    same(result(spark, "op11_rank_bpe", data), wanted)
+
+
 def test_op12(spark, data):
     items = texts(spark, data, "benchmark", "item_id")
     same(result(spark, "op12_bag_search", data), brute.bag_search(texts(spark, data), items))

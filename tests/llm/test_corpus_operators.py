@@ -17,6 +17,7 @@ from chirplake.llm import (
     importance,
     line_dedup,
     piece_fst,
+    rank_fold,
     rendezvous,
     simhash,
     token_orc,
@@ -325,3 +326,65 @@ def test_whitening_of_wide_numbers_and_other_lengths(spark):
 def test_whitening_without_variance_gives_no_rows(spark):
     for rows in ([(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
         assert whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect() == []
+
+
+def ids_of(rows):
+    return {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in rows}
+
+
+@pytest.mark.parametrize("remembered", [0, 20, 10_000])
+def test_folds_are_the_library_encoding(spark, remembered, monkeypatch):
+    ranks = q.tokenizer_file(q.RANKS)
+    library = brute.rank_encoding(ranks)
+    letters = "etaoinshrdluZé\n\t  .,!?'st1 2—☃𝒳\x00▁\u3000\x1c\x85\r"
+    docs = [(i, "".join(RNG.choice(letters) for _ in range(RNG.randint(0, 200)))) for i in range(400)]
+    docs += [(1000, "zwischenzeitlichster " * 50), (1001, "q" * 250 + "é" * 3 + " " + "ab" * 400), (1002, None), (1003, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_open", F.lit(1)).repartition(3)
+    encoded = rank_fold.encode(frame, ranks, remembered=remembered)
+    assert encoded.columns == ["doc_id", "text", "_open", "ids"]
+    found = ids_of(encoded.collect())
+    assert found == {doc: library.encode_ordinary(text or "") for doc, text in docs}
+    back = rank_fold.decode(encoded, ranks).select("doc_id", "decoded").collect()
+    assert {r[0]: bytes(r[1]).decode() for r in back} == {doc: text or "" for doc, text in docs}
+
+
+def test_fold_and_heap_agree_where_merges_overlap(spark):
+    """Ranks in an order no training would give: pairs that come up after later ones, and repeats."""
+    pieces = ["ab", "bc", "abc", "aa", "aaa", "ca", "cab", "bb", "abab", "cc"]
+    for turn in range(4):
+        RNG.shuffle(pieces)
+        ranks = {bytes([b]): b for b in range(256)} | {p.encode(): 256 + i for i, p in enumerate(pieces)}
+        library = brute.tiktoken_of(ranks)
+        words = ["".join(RNG.choice("abc") for _ in range(RNG.randint(1, 25))) for _ in range(200)]
+        frame = spark.createDataFrame([(words,)], "words array<string>")
+        folded = frame.select(rank_fold.fold_words(F.col("words"), rank_fold.rank_literal(ranks, 16), 16)).first()[0]
+        wanted = [library.encode_ordinary(word) for word in words]
+        assert folded == wanted, turn
+        assert [rank_fold.merge_by_heap(word.encode(), ranks) for word in words] == wanted
+
+
+def test_words_of_every_code_point():
+    library = brute.rank_encoding(q.tokenizer_file(q.RANKS))
+    lookup = rank_fold._Lookup({}, rank_fold.read_ranks(q.tokenizer_file(q.RANKS)))
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 7 == 0 or 0x10000 < c < 0x20000)]
+    for c in points:
+        text = f"x{chr(c)}1{chr(c)} {chr(c)}\n{chr(c)}{chr(c)}a {chr(c)} b"
+        known, at, words = lookup.known_and_open(text)
+        if not words:
+            assert np.frombuffer(known, "<u4").tolist() == library.encode_ordinary(text), hex(c)
+    assert rank_fold.words_of_chunk("don't") == ["don", "'t"]
+
+
+def test_a_word_of_a_million_characters():
+    ranks = rank_fold.read_ranks(q.tokenizer_file(q.RANKS))
+    word = "".join(RNG.choice("abcdefghij") for _ in range(1_000_000))
+    library = brute.rank_encoding(q.tokenizer_file(q.RANKS))
+    assert rank_fold.merge_by_heap(word.encode(), ranks) == library.encode_ordinary(word)
+
+
+def test_only_the_most_frequent_words_are_remembered(spark):
+    docs = [(" ".join(["qzxjw"] * 9 + ["vvkqj"] * 5 + ["jjxqk", "jjxqk"] + ["the"] * 20),)]
+    frame = spark.createDataFrame(docs, "text string")
+    path = q.tokenizer_file(q.RANKS)
+    for most, wanted in ((2, {" qzxjw", " vvkqj"}), (1, {" qzxjw"}), (0, set()), (9, {" qzxjw", " vvkqj", " jjxqk"})):
+        assert {r[0] for r in rank_fold.frequent_words(frame, path, most).collect()} == wanted
