@@ -19,13 +19,13 @@ import json
 import re
 import unicodedata
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -41,7 +41,6 @@ COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 300_000, 300_000, 48
 # The fold takes time by the square of a word's bytes; longer words are merged by a heap.
 FOLD_BYTES = 256
 BUCKETS = 1 << 16
-_HASH_SEED = 42
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -66,12 +65,12 @@ def rank_literal(ranks: dict[bytes, int], buckets: int = BUCKETS) -> Column:
     maps: list[dict[str, int]] = [{} for _ in range(buckets)]
     for piece, rank in ranks.items():
         digits = piece.hex().upper()
-        maps[xxhash.xxh64_intdigest(digits, _HASH_SEED) % buckets][digits] = rank
+        maps[zlib.crc32(digits.encode()) % buckets][digits] = rank
     return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
 
 
 def _rank(ranks: Column, piece: Column, buckets: int) -> Column:
-    place = F.xxhash64(piece).bitwiseAND(F.lit(buckets - 1)).cast("int")
+    place = F.crc32(piece.cast("binary")).bitwiseAND(F.lit(buckets - 1)).cast("int")
     return F.element_at(F.get(ranks, place), piece)
 
 

@@ -101,7 +101,13 @@ def key_skew(df: DataFrame, key: str) -> DataFrame:
 
 def partition_balance(df: DataFrame) -> DataFrame:
     """How unevenly rows fall on the partitions of ``df``."""
-    sizes = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("size"))
+    return balance_of_sizes(
+        df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("size"))
+    )
+
+
+def balance_of_sizes(sizes: DataFrame) -> DataFrame:
+    """The same from the ``size`` of each partition, which may be one that is only planned."""
     return sizes.agg(
         F.count("*").alias("partitions"),
         F.sum("size").alias("rows"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +31,16 @@ from chirplake.functions.text import (
     token_text,
     tokens,
 )
+from chirplake.functions.memo import memo_scorer
 from chirplake.operators import application as app
-from chirplake.operators import evaluation, layers, profiling
+from chirplake.operators import balance, evaluation, layers, profiling, skew
 from chirplake.operators.layers import bronze_to_gold, to_gold, to_silver
 from chirplake.plans.posts import land, landing_files, posts
 from chirplake.plans.runs import streamed_posts
-from chirplake.schemas import BRONZE, CORRUPT_RECORD, GOLD, RAW, SILVER, TEXT
+from chirplake.schemas import BRONZE, CORRUPT_RECORD, GOLD, RAW, SILVER, STREAM_PROGRESS, TEXT
 from chirplake.settings import Settings, configure, new_run_folder
-from chirplake.sources import raw, tables
+from chirplake.sources import compaction, generations, raw, tables
+from chirplake.streaming import landing as landings
 from chirplake.streaming import monitor, stages
 from chirplake.streaming.stages import Layout, append_stream, drain
 
@@ -48,6 +52,8 @@ TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
 ).split()
+# Parts in which a table arrives to be compacted.
+ARRIVALS = 10
 TEXT_COLUMNS = {
     "documents": "text",
     "benchmark": "text",
@@ -238,8 +244,34 @@ def key_skew_profile(spark, sf_dir):
 
 @query
 def partition_balance(spark, sf_dir):
-    """Rows of silver per partition by hash of the mention, where one key can outweigh the others."""
-    return profiling.partition_balance(_silver(spark, sf_dir).repartition("mention"))
+    """Rows of silver per partition a shuffle on the mention would make; no row is moved to find out."""
+    silver = _silver(spark, sf_dir)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return profiling.balance_of_sizes(skew.partition_sizes(silver, "mention", partitions))
+
+
+@query
+def heavy_mentions(spark, sf_dir):
+    """Mentions with a hundredth of all rows: whether the sketch gives them, and bounds that hold."""
+    silver = _silver(spark, sf_dir)
+    counted = silver.groupBy("mention").agg(F.count("*").alias("rows"))
+    given = skew.heavy_keys(silver, "mention", 0.01).drop("rows")
+    heavy = counted.where(F.col("rows") * 100 >= F.lit(silver.count()))
+    return heavy.join(F.broadcast(given), "mention", "left").select(
+        "mention",
+        "rows",
+        F.col("at_most").isNotNull().alias("is_given"),
+        F.col("rows").between(F.col("at_least"), F.col("at_most")).alias("is_inside"),
+    )
+
+
+@query
+def salted_join_counts(spark, sf_dir):
+    """Gold with the number of rows of its mention, heavy mentions spread over many tasks."""
+    gold = _gold(spark, sf_dir)
+    counted = app.salted_mention_totals(gold, Settings().salts)
+    joined = skew.salted_join(gold, counted, "mention", salts=Settings().salts)
+    return joined.select("timestamp", "mention", "predicted_sentiment", "total")
 
 
 # Application
@@ -359,6 +391,28 @@ def gold_model_scored(spark, sf_dir):
     return bronze_to_gold(posts(spark, sf_dir), model_scorer(load_lexicon_model))
 
 
+@query
+def gold_memo_scored(spark, sf_dir):
+    """Gold in two batches over one memo of scores: the second looks most of its texts up."""
+    frame = posts(spark, sf_dir)
+    scorer = memo_scorer(
+        f"{new_run_folder(spark, 'memo')}/lexicon", model_scorer(load_lexicon_model)
+    )
+    is_early = F.col("sentiment") != "negative"
+    return bronze_to_gold(frame.filter(is_early), scorer).unionByName(
+        bronze_to_gold(frame.filter(~is_early), scorer)
+    )
+
+
+@query
+def gold_cost_balanced(spark, sf_dir):
+    """Gold by the Python model, silver first cut into partitions of equally many text bytes."""
+    silver = _silver(spark, sf_dir)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cost = F.octet_length("cleaned_text") + F.lit(1)
+    return to_gold(balance.by_cost(silver, cost, partitions), model_scorer(load_lexicon_model))
+
+
 @query
 def ml_scored(spark, sf_dir):
     """Gold by a pipeline fitted on the given labels, stored and loaded by name and stage."""
@@ -555,6 +609,22 @@ def nested_landing_ingest(spark, sf_dir):
     return tables.read_table(spark, layout.table("bronze"), BRONZE).select(*RAW.names)
 
 
+@query
+def archived_landing(spark, sf_dir):
+    """Three arrivals in one landing folder, which is empty again after each."""
+    frame = posts(spark, sf_dir)
+    files = landing_files(frame.count())
+    layout = Layout(new_run_folder(spark, "archived"))
+    folder = layout.table("landing")
+    settings = replace(Settings(), archive=layout.table("archive"))
+    left = 0
+    for sentiment in ("positive", "neutral", "negative"):
+        land(frame.filter(F.col("sentiment") == sentiment), folder, files)
+        left += landings.ingest_and_archive(spark, folder, layout, settings)
+    bronze = tables.read_table(spark, layout.table("bronze"), BRONZE).select(*RAW.names)
+    return bronze.withColumn("files_left", F.lit(left).cast("bigint"))
+
+
 @query
 def chained_quarantine(spark, sf_dir):
     """Layers run over lines of which some are broken: the mentions, and the lines put aside."""
@@ -588,23 +658,48 @@ def table_versions(spark, sf_dir):
 # Tables and monitoring
 
 
-@query
-def throughput_of_events(spark, sf_dir):
-    """The throughput report over events taken as progress rows."""
-    event = spark.read.parquet(f"{sf_dir}/events.parquet")
+def _progress_of_events(event: DataFrame) -> DataFrame:
     number = F.col("event_id")
-    progress = event.select(
+    return event.select(
         F.col("ts").cast("timestamp").alias("observed_at"),
         F.col("event_type").alias("stream"),
         number.alias("batch_id"),
         (number % 13).alias("rows"),
         F.when(number % 5 != 0, number % 700).alias("duration_ms"),
     )
+
+
+@query
+def throughput_of_events(spark, sf_dir):
+    """The throughput report over events taken as progress rows."""
+    progress = _progress_of_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
     return monitor.throughput(progress).withColumn(
         "slot_start", F.col("slot_start").cast("timestamp_ntz")
     )
 
 
+@query
+def live_throughput_of_events(spark, sf_dir):
+    """The same report as a stream over the rows in the order of time, given slot by slot."""
+    progress = _progress_of_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    layout = Layout(new_run_folder(spark, "live"))
+    rows, report = layout.table("progress"), layout.table("throughput")
+    span = progress.agg(F.min("observed_at").alias("first"), F.max("observed_at").alias("last")).first()
+    # Files may be taken in any order, so a row is late by the whole span at most.
+    late = span["last"] - span["first"] + timedelta(minutes=1)
+    progress.write.parquet(rows)
+    stages.drain(_live(spark, layout, late))
+    monitor.closing_row(spark, span["last"] + 2 * late).coalesce(1).write.mode("append").parquet(rows)
+    stages.drain(_live(spark, layout, late))
+    return tables.read_table(spark, report)
+
+
+def _live(spark: SparkSession, layout: Layout, late: timedelta):
+    stream = tables.stream_table(spark, layout.table("progress"), STREAM_PROGRESS, Settings())
+    report = monitor.live_throughput(stream, late=f"{int(late.total_seconds())} seconds")
+    return append_stream(report, layout.table("throughput"), layout.checkpoint("throughput"), "throughput_stream")
+
+
 @query
 def compacted_table(spark, sf_dir):
     run = streamed_posts(spark, sf_dir)
@@ -626,8 +721,45 @@ def compacted_then_appended(spark, sf_dir):
         land(frame.filter(F.col("sentiment") == sentiment), landing, files)
         drain(stages.bronze_stream(spark, landing, layout, settings))
         if sentiment != arrivals[-1]:
-            tables.compact_table(spark, table, size, BRONZE)
-    return tables.read_current(spark, table, BRONZE).select(*RAW.names)
+            compaction.compact_table(spark, table, size, BRONZE)
+    return compaction.read_current(spark, table, BRONZE).select(*RAW.names)
+
+
+@query
+def levelled_compaction(spark, sf_dir):
+    """Gold arriving in ten parts, compacted after each: all rows, from a number of copies that stays small."""
+    gold = _gold(spark, sf_dir)
+    path = f"{new_run_folder(spark, 'levelled')}/gold"
+    part = F.pmod(F.xxhash64("mention", "timestamp"), F.lit(ARRIVALS))
+    for number in range(ARRIVALS):
+        gold.filter(part == number).coalesce(4).write.mode("append").parquet(path)
+        compaction.compact_table(spark, path, Settings().target_file_bytes, GOLD)
+    copies = len(compaction.copies_of(spark, path))
+    current = compaction.read_current(spark, path, GOLD)
+    return current.withColumn("few_copies", F.lit(copies <= ARRIVALS.bit_length()))
+
+
+@query
+def clustered_mention(spark, sf_dir):
+    """The rows of one mention, read from gold laid out by mention and time."""
+    path = f"{new_run_folder(spark, 'clustered')}/gold"
+    _gold(spark, sf_dir).write.parquet(path)
+    cluster = compaction.Cluster("mention", "timestamp")
+    compaction.compact_table(spark, path, Settings().target_file_bytes, GOLD, cluster)
+    return compaction.read_current(spark, path, GOLD).filter(F.col("mention") == "@h3")
+
+
+@query
+def reconciled_generations(spark, sf_dir):
+    """Posts whose user was a number in a table's first files and is text in the later ones."""
+    event = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path = f"{new_run_folder(spark, 'generations')}/posts"
+    early = F.col("event_id") % 2 == 0
+    number, name = F.col("user_id").cast("int"), F.concat(F.lit("user"), F.col("user_id"))
+    event.filter(early).select("event_id", number.alias("user")).write.parquet(path)
+    later = event.filter(~early).select("event_id", name.alias("user"), "event_type")
+    later.write.mode("append").parquet(path)
+    return generations.read_reconciled(spark, path)
 
 
 @query

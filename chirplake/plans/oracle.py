@@ -175,6 +175,13 @@ def oracle_sql() -> dict[str, str]:
           CAST(sum(length(regexp_replace({column}, '@\\w+', '', 'g'))) AS BIGINT) AS cleaned_chars
           FROM {table}"""
 
+    throughput = """
+      SELECT event_type AS stream,
+        make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS slot_start,
+        CAST(sum(event_id % 13) AS BIGINT) AS rows,
+        avg(CASE WHEN event_id % 5 <> 0 THEN event_id % 700 END) AS mean_duration_ms
+      FROM events GROUP BY ALL"""
+
     return {
         "application_table": application,
         "silver_mentions": silver_rows,
@@ -293,6 +300,19 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT 'silver_stream', count(*) FROM posts
           UNION ALL SELECT 'gold_stream', count(*) FROM silver
           UNION ALL SELECT 'application_stream', count(*) FROM silver""",
+        "archived_landing": f"""{posts} SELECT "date", "user", text, sentiment,
+          CAST(0 AS BIGINT) AS files_left FROM posts""",
+        "levelled_compaction": f"{gold} SELECT *, TRUE AS few_copies FROM gold",
+        "clustered_mention": f"{gold} SELECT * FROM gold WHERE mention = '@h3'",
+        "reconciled_generations": """SELECT event_id,
+            CASE WHEN event_id % 2 = 0 THEN '' ELSE 'user' END || user_id AS "user",
+            CASE WHEN event_id % 2 <> 0 THEN event_type END AS event_type FROM events""",
+        "heavy_mentions": f"""{silver} SELECT mention, count(*) AS rows, TRUE AS is_given, TRUE AS is_inside
+          FROM silver GROUP BY mention HAVING count(*) * 100 >= (SELECT count(*) FROM silver)""",
+        "salted_join_counts": f"""{gold} SELECT "timestamp", mention, predicted_sentiment,
+          count(*) OVER (PARTITION BY mention) AS total FROM gold""",
+        "gold_memo_scored": gold_rows,
+        "gold_cost_balanced": gold_rows,
         "nested_landing_ingest": raw_rows,
         "chained_quarantine": rf"""{posts}
           SELECT mention, {CLEANED} AS cleaned_text, NULL AS rejected_line
@@ -302,12 +322,8 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT NULL, NULL, {LINE} FROM posts WHERE is_broken""",
         "table_versions": f"""SELECT CAST(ceil({FILES} / 10.0) - 1 AS BIGINT) AS bronze_version
           FROM events""",
-        "throughput_of_events": """
-          SELECT event_type AS stream,
-            make_timestamp(epoch_us(ts) // 10000000 * 10000000) AS slot_start,
-            CAST(sum(event_id % 13) AS BIGINT) AS rows,
-            avg(CASE WHEN event_id % 5 <> 0 THEN event_id % 700 END) AS mean_duration_ms
-          FROM events GROUP BY ALL""",
+        "throughput_of_events": throughput,
+        "live_throughput_of_events": throughput,
         "ml_scored_profile": f"""{silver}
           SELECT count(*) AS rows, count(*) AS known_labels, count(*) AS scores_in_range,
             CAST(0 AS BIGINT) AS texts_with_two_predictions FROM silver""",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -27,6 +29,9 @@ class Settings:
     ``shuffle_partitions`` is where a shuffle starts out before adaptive execution
     joins small partitions; None leaves it to the session. ``max_file_age`` is how much older
     than the newest file seen a landing file may be and still be read; the default drops none.
+    ``archive`` is a folder that landing files move to once they are ingested, so that a listing finds
+    new files only; see ``streaming.landing``. Files then need to be known for ``archive_age`` only, and
+    up to ``cached_files`` listed files are kept for the next batches.
     """
 
     files_per_trigger: int = 10
@@ -37,6 +42,9 @@ class Settings:
     shuffle_partitions: int | None = None
     salts: int = 16
     target_file_bytes: int = 256 * 1024 * 1024
+    archive: str | None = None
+    archive_age: str = "7d"
+    cached_files: int = 10_000
 
     def rate_options(self) -> dict[str, str]:
         if self.bytes_per_trigger is not None:
@@ -48,6 +56,18 @@ class Settings:
         return self.rate_options() | {"maxFileAge": self.max_file_age}
 
 
+    def landing_options(self) -> dict[str, str]:
+        """Options of the stream over landing files, which may be moved away behind it."""
+        if self.archive is None:
+            return self.source_options()
+        return self.rate_options() | {
+            "maxFileAge": self.archive_age,
+            "maxCachedFiles": str(self.cached_files),
+            "cleanSource": "archive",
+            "sourceArchiveDir": self.archive,
+        }
+
+
 def configure(spark: SparkSession, settings: Settings | None = None) -> SparkSession:
     """Apply the session settings the results rely on."""
     wanted = dict(SESSION_SETTINGS)
@@ -61,6 +81,22 @@ def configure(spark: SparkSession, settings: Settings | None = None) -> SparkSes
     return spark
 
 
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings that hold for a while; the session has its own again afterwards."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def new_run_folder(spark: SparkSession, purpose: str) -> str:
     """A folder name never used before, below the folder the cluster shares.
 

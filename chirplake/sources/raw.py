@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from chirplake.schemas import CORRUPT_RECORD, RAW
 from chirplake.settings import Settings
-
+from chirplake.sources.folders import qualified
 
 # Landing folders may be nested, by date for example.
 NESTED = {"recursiveFileLookup": "true"}
@@ -45,17 +47,29 @@ def raw_batch(spark: SparkSession, path: str, schema: StructType = RAW) -> DataF
     return spark.read.schema(schema).options(**NESTED).json(path)
 
 
+def check_archive(spark: SparkSession, landing: str, archive: str) -> None:
+    """An archive must lie apart from its landing folder and on the same file system."""
+    landing, archive = (f"{qualified(spark, path).rstrip('/')}/" for path in (landing, archive))
+    if landing.startswith(archive) or archive.startswith(landing):
+        raise ValueError(f"the archive {archive} and the landing folder {landing} lie in each other")
+    if urlsplit(landing)[:2] != urlsplit(archive)[:2]:
+        raise ValueError(f"the archive {archive} is on another file system than {landing}")
+
+
 def raw_stream(
     spark: SparkSession, path: str, settings: Settings, schema: StructType = RAW
 ) -> DataFrame:
     """Post files as they arrive, a limited number per batch, by a fixed schema.
 
     A line that is no JSON gives a row of nulls, unless the schema has the
-    corrupt-record column, which then keeps the line.
+    corrupt-record column, which then keeps the line. With ``settings.archive`` the files of a batch
+    are moved there when the next one begins.
     """
+    if settings.archive is not None:
+        check_archive(spark, path, settings.archive)
     return (
         spark.readStream.schema(schema)
-        .options(**settings.source_options(), **NESTED)
+        .options(**settings.landing_options(), **NESTED)
         .option("columnNameOfCorruptRecord", CORRUPT_RECORD)
         .json(path)
     )

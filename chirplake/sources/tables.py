@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -79,70 +78,3 @@ def compact(spark: SparkSession, path: str, target: str, target_file_bytes: int)
     files = max(1, math.ceil(total / target_file_bytes))
     read_table(spark, path).coalesce(files).write.parquet(target)
     return read_table(spark, target)
-
-
-_COMPACTIONS = "upto bigint, edge array<string>, copy string"
-_WRITTEN = "_metadata.file_modification_time"
-
-
-def _compactions(spark: SparkSession, path: str) -> list:
-    """The compactions of a table, one row each, oldest first."""
-    stored = load_or_none(spark.read.schema(_COMPACTIONS).format("parquet"), f"{path}_compactions")
-    return [] if stored is None else stored.orderBy("upto").collect()
-
-
-def _later(spark: SparkSession, path: str, schema: StructType | None, done: list) -> DataFrame:
-    """Rows of the files that no compaction covers; the others are not opened.
-
-    A stream writes the files of a batch after it has committed the batch before, so a file
-    that is not covered is no older than the newest one that is. Files of that very moment are
-    told apart by their names.
-    """
-    rows = read_table(spark, path, schema)
-    if not done:
-        return rows
-    newest = done[-1]
-    moment = F.timestamp_micros(F.lit(newest["upto"]))
-    return rows.filter((F.col(_WRITTEN) >= moment) & ~F.col("_metadata.file_path").isin(newest["edge"]))
-
-
-def compact_table(
-    spark: SparkSession, path: str, target_file_bytes: int, schema: StructType | None = None
-) -> bool:
-    """Merge the small files that came since the last compaction; False if there were none.
-
-    The table goes on as it is and ``read_current`` reads the merged files in place of those
-    they cover. Each byte is rewritten once, however often this runs. A compaction counts from
-    the moment its one-row entry is written; one that breaks off is never read. Only one may
-    run at a time. The files covered are no longer needed by ``read_current``, but streams that
-    read the table still take them up.
-    """
-    rows = _later(spark, path, schema, _compactions(spark, path))
-    files = rows.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size"),
-        F.unix_micros(_WRITTEN).alias("written"),
-    ).distinct()
-    found = files.agg(F.sum("size").alias("bytes"), F.max("written").alias("upto")).first()
-    if found["upto"] is None:
-        return False
-    copy = f"{path}_compacted/{uuid.uuid4().hex}"
-    parts = max(1, math.ceil(found["bytes"] / target_file_bytes))
-    rows.coalesce(parts).write.parquet(copy)
-    entry = files.where(F.col("written") == found["upto"]).agg(
-        F.lit(found["upto"]).cast("bigint").alias("upto"),
-        F.collect_list("file").alias("edge"),
-        F.lit(copy).alias("copy"),
-    )
-    entry.coalesce(1).write.mode("append").parquet(f"{path}_compactions")
-    return True
-
-
-def read_current(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """All committed rows of a table: the compacted files and what came after them."""
-    done = _compactions(spark, path)
-    later = _later(spark, path, schema, done)
-    if not done:
-        return later
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*[row["copy"] for row in done]).unionByName(later)

@@ -113,5 +113,29 @@ def throughput(progress: DataFrame, every: str = "10 seconds") -> DataFrame:
     )
 
 
+def live_throughput(
+    progress: DataFrame, every: str = "10 seconds", late: str = "1 minute"
+) -> DataFrame:
+    """``throughput`` of a stream of progress rows, each slot given once, when it is complete.
+
+    A slot is complete when a row has come in that is ``late`` past its end; a row of a slot that was given
+    already is dropped and counted, see ``late_rows``. The state holds the open slots alone. The last slots
+    stay open until a later row comes in, such as the one ``closing_row`` makes.
+    """
+    return throughput(progress.withWatermark("observed_at", late), every)
+
+
+def closing_row(spark: SparkSession, moment: datetime) -> DataFrame:
+    """A progress row of no stream, whose time ends all slots well before it."""
+    return spark.createDataFrame([(moment, None, None, None, None)], STREAM_PROGRESS)
+
+
+def late_rows(progress: list) -> int:
+    """Rows that came too late for their slot, by the progress of the stream that adds slots up."""
+    return sum(
+        state["numRowsDroppedByWatermark"] for batch in progress for state in batch["stateOperators"]
+    )
+
+
 def rows_per_stream(progress: DataFrame) -> DataFrame:
     return progress.groupBy("stream").agg(F.sum("rows").alias("rows"))

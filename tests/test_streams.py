@@ -19,7 +19,7 @@ from chirplake.operators.application import application_table
 from chirplake.operators.layers import to_gold, to_silver
 from chirplake.plans.posts import land, posts
 from chirplake.settings import Settings
-from chirplake.sources import raw, tables
+from chirplake.sources import compaction, raw, tables
 from chirplake.streaming import monitor, stages
 from chirplake.streaming.stages import (
     Layout,
@@ -306,16 +306,16 @@ def test_a_compacted_table_goes_on(spark, layout, landing):
         drain(bronze_stream(spark, str(landing), layout, FIVE))
 
     def current():
-        return tables.read_current(spark, path, schemas.BRONZE)
+        return compaction.read_current(spark, path, schemas.BRONZE)
 
     arrive("@a", "@b", "@c")
     assert len(current().inputFiles()) == 3
-    assert tables.compact_table(spark, path, size, schemas.BRONZE)
-    assert not tables.compact_table(spark, path, size, schemas.BRONZE)
+    assert compaction.compact_table(spark, path, size, schemas.BRONZE)
+    assert not compaction.compact_table(spark, path, size, schemas.BRONZE)
     assert sorted(rows(current(), "text")) == [("@a",), ("@b",), ("@c",)]
     arrive("@d", "@a")
     assert_same_rows(current(), read(spark, layout, "bronze"))
-    assert tables.compact_table(spark, path, size, schemas.BRONZE)
+    assert compaction.compact_table(spark, path, size, schemas.BRONZE)
     arrive("@e")
     assert_same_rows(current(), read(spark, layout, "bronze"))
     merged = dict(rows(current().select("text", F.input_file_name().alias("file"))))
@@ -389,3 +389,24 @@ def test_throughput_leaves_missing_times_out(spark):
     ).withColumn("observed_at", F.to_timestamp(F.concat(F.lit("2024-01-01 "), "at")))
     found = monitor.throughput(progress).orderBy("slot_start")
     assert rows(found, "rows", "mean_duration_ms") == [(12, 100.0), (1, 40.0)]
+
+
+def test_live_throughput_gives_a_slot_once_and_counts_late_rows(spark, tmp_path):
+    path, out, check = (str(tmp_path / name) for name in ("progress", "out", "checkpoint"))
+
+    def arrive(*seconds):
+        moments = [(datetime(2026, 1, 1, 0, s // 60, s % 60), "s", 0, s, 10 * s) for s in seconds]
+        table = spark.createDataFrame(moments, schemas.STREAM_PROGRESS)
+        table.coalesce(1).write.mode("append").parquet(path)
+        stream = tables.stream_table(spark, path, schemas.STREAM_PROGRESS, Settings())
+        live = monitor.live_throughput(stream, late="20 seconds")
+        query = drain(stages.append_stream(live, out, check, "throughput_stream"))
+        given = tables.read_table(spark, out).orderBy("slot_start")
+        return monitor.late_rows(query.recentProgress), rows(given, "rows", "mean_duration_ms")
+
+    assert arrive(1, 2, 12) == (0, [])
+    assert arrive(31) == (0, [(3, 15.0)])
+    assert arrive(9, 13) == (1, [(3, 15.0)])
+    assert arrive(55) == (0, [(3, 15.0), (25, 125.0)])
+    monitor.closing_row(spark, datetime(2026, 1, 2)).coalesce(1).write.mode("append").parquet(path)
+    assert arrive() == (0, [(3, 15.0), (25, 125.0), (31, 310.0), (55, 550.0)])
