@@ -34,6 +34,8 @@ Scorer = Callable[[DataFrame, str], DataFrame]
 Model = Callable[[pd.Series], pd.DataFrame]
 
 PREDICTED = "prediction"
+# Models a worker process keeps.
+MODELS_KEPT = 2
 POSITIVE_WORDS = ("love", "great")
 NEGATIVE_WORDS = ("hate", "awful")
 
@@ -93,6 +95,8 @@ def model_scorer(load_model: Callable[[], Model]) -> Scorer:
     The model stays with the process, which serves many tasks, under a name of its own: this
     package reaches workers by value, anew for each task, so its globals would not last.
 
+    A process keeps the few models it used last.
+
     Equal texts of a batch are scored once: the mentions of one post share their
     text, and a text that is posted over and over costs little.
     """
@@ -101,10 +105,13 @@ def model_scorer(load_model: Callable[[], Model]) -> Scorer:
 
     @F.pandas_udf(PREDICTION)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        kept = sys.modules.setdefault("_chirplake_models", types.ModuleType("_chirplake_models"))
-        model = kept.__dict__.get(model_id)
-        if model is None:
-            model = kept.__dict__[model_id] = load_model()
+        module = sys.modules.setdefault("_chirplake_models", types.ModuleType("_chirplake_models"))
+        kept = module.__dict__.setdefault("models", {})
+        if model_id not in kept:
+            while len(kept) >= MODELS_KEPT:
+                del kept[next(iter(kept))]
+            kept[model_id] = load_model()
+        model = kept[model_id] = kept.pop(model_id)  # the last one used is the last to go
         for texts in batches:
             positions, distinct = pd.factorize(texts, use_na_sentinel=False)
             yield model(pd.Series(distinct)).iloc[positions].reset_index(drop=True)

@@ -528,8 +528,11 @@ def rerun_is_noop(spark, sf_dir):
     """Silver run again on its checkpoint with nothing new: no row is read, none added."""
     run = streamed_posts(spark, sf_dir)
     run.silver  # noqa: B018
-    again = drain(stages.silver_stream(spark, run.layout, run.settings))
-    reread = sum(progress["numInputRows"] for progress in again.recentProgress)
+    watched = f"{new_run_folder(spark, 'rerun')}/progress"
+    with monitor.ProgressLog(spark, watched) as log:
+        log.await_end(drain(stages.silver_stream(spark, run.layout, run.settings)))
+    seen = tables.load_or_none(spark.read.schema(STREAM_PROGRESS).format("parquet"), watched)
+    reread = 0 if seen is None else seen.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     return tables.read_table(spark, run.layout.table("silver"), SILVER).agg(
         F.count("*").alias("rows"), F.lit(reread).cast("bigint").alias("rows_read_again")
     )

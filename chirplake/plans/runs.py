@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chirplake.functions.scoring import load_lexicon_model, model_scorer
 from chirplake.plans.posts import land_all
 from chirplake.schemas import BRONZE, GOLD, SILVER, STREAM_PROGRESS
-from chirplake.settings import Settings, configure, new_run_folder
+from chirplake.settings import Settings, configure, new_run_folder, session_settings
 from chirplake.sources.tables import read_table
 from chirplake.streaming.monitor import ProgressLog
 from chirplake.streaming.stages import (
@@ -41,16 +41,18 @@ class StreamedPosts:
     @cached_property
     def settings(self) -> Settings:
         """The library's defaults: a fixed number of files per trigger, whatever the total."""
-        settings = Settings()
-        configure(self.spark, settings)
-        return settings
+        configure(self.spark)
+        return Settings()
 
     @property
     def _progress_path(self) -> str:
         return self.layout.table("stream_progress")
 
     def _watched(self, start, *args) -> None:
-        with ProgressLog(self.spark, self._progress_path) as log:
+        with (
+            session_settings(self.spark, self.settings.session_options()),
+            ProgressLog(self.spark, self._progress_path) as log,
+        ):
             log.await_end(drain(start(self.spark, *args)))
 
     @cached_property

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -68,13 +70,17 @@ class Settings:
         }
 
 
+    def session_options(self) -> dict[str, str]:
+        """What a run sets in its session."""
+        wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(self.arrow_batch_rows)}
+        if self.shuffle_partitions is not None:
+            wanted["spark.sql.shuffle.partitions"] = str(self.shuffle_partitions)
+        return wanted
+
+
 def configure(spark: SparkSession, settings: Settings | None = None) -> SparkSession:
     """Apply the session settings the results rely on."""
-    wanted = dict(SESSION_SETTINGS)
-    if settings is not None:
-        wanted["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(settings.arrow_batch_rows)
-        if settings.shuffle_partitions is not None:
-            wanted["spark.sql.shuffle.partitions"] = str(settings.shuffle_partitions)
+    wanted = SESSION_SETTINGS | ({} if settings is None else settings.session_options())
     for key, value in wanted.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -102,9 +108,14 @@ def new_run_folder(spark: SparkSession, purpose: str) -> str:
 
     Tables, stream checkpoints and models written there are reachable from every
     executor. The folder is the one in ``spark.checkpoint.dir``; a session without that setting
-    uses a folder of the warehouse, ``spark.sql.warehouse.dir``, which is shared as well.
+    uses a folder of the warehouse, ``spark.sql.warehouse.dir``, which is shared as well, unless it is
+    a folder of the driver's machine and the executors run on others: that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        on_one_machine = re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "local"))
+        if urlsplit(warehouse).scheme in ("", "file") and not on_one_machine:
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        shared = f"{warehouse}/scratch"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -21,6 +21,7 @@ from chirplake.operators.application import application_partials, fold_partials,
 from chirplake.operators.layers import to_bronze, to_gold, to_silver
 from chirplake.schemas import BRONZE, CORRUPT_RECORD, GOLD, RAW, SILVER, enforce
 from chirplake.settings import Settings, configure
+from chirplake.sources.folders import delete_folder, list_folders
 from chirplake.sources.raw import raw_stream, with_corrupt_record
 from chirplake.sources.tables import load_or_none, newest_batch, stream_table
 
@@ -151,6 +152,25 @@ def fold_application(spark: SparkSession, layout: Layout) -> int:
     return newest
 
 
+def retire_application(spark: SparkSession, layout: Layout, grace_seconds: float = 86_400) -> int:
+    """Delete what the newest fold has made needless; gives the number of folders deleted.
+
+    These are the spans it covers whole and the folds before it, once they and the fold have been there for
+    the grace period, in which readers that began before the fold can end.
+    """
+    upto, folded = _newest_fold(spark, layout)
+    folds = dict(list_folders(spark, layout.table("application_folded")))
+    current = [age for folder, age in folds.items() if folded and folder.endswith(folded.rpartition("/")[2])]
+    if not current or current[0] < grace_seconds:
+        return 0
+    old = [f for f, age in folds.items() if not f.endswith(folded.rpartition("/")[2]) and age >= grace_seconds]
+    for span, age in list_folders(spark, layout.table("application")):
+        number = span.rpartition("span=")[2]
+        if number.isdigit() and (int(number) + 1) * BATCHES_PER_SPAN <= upto + 1 and age >= grace_seconds:
+            old.append(span)
+    return sum(delete_folder(spark, folder) for folder in old)
+
+
 def drain(query: StreamingQuery) -> StreamingQuery:
     """Wait until a stream has worked off its source; raises if it failed."""
     query.awaitTermination()

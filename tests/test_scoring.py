@@ -3,6 +3,7 @@ from __future__ import annotations
 import subprocess
 import sys
 
+import pandas as pd
 import pytest
 from helpers import assert_same_rows, plan_of, rows
 from hypothesis import HealthCheck, given, settings
@@ -142,3 +143,19 @@ def test_a_model_is_loaded_once_per_process(spark, tmp_path):
     model_scorer(load)(frame, "text").collect()
     loads = [mark.name.split("-")[0] for mark in tmp_path.iterdir()]
     assert len(loads) == len(set(loads))
+
+
+def test_workers_keep_few_models(spark):
+    """Models of many scorers in turn, in one worker process; the last ones stay."""
+    seen = spark.range(1).select(F.lit("love it").alias("text"))
+    for _ in range(4):
+        assert model_scorer(load_lexicon_model)(seen, "text").first()["prediction"]["label"] == "POS"
+
+    @F.pandas_udf("int")
+    def kept(ids: pd.Series) -> pd.Series:
+        import sys
+
+        module = sys.modules.get("_chirplake_models")
+        return pd.Series([len(module.models) if module else 0] * len(ids))
+
+    assert spark.range(1).select(kept("id")).first()[0] <= 2

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from chirplake.settings import Settings, configure, new_run_folder
+import pytest
+
+from chirplake.settings import Settings, configure, new_run_folder, session_settings
 
 
 def test_session_settings_are_applied(spark):
@@ -46,3 +48,26 @@ def test_without_it_they_lie_in_the_warehouse():
 def test_streams_leave_no_old_file_behind():
     assert Settings().source_options()["maxFileAge"] == "36500d"
     assert Settings(max_file_age="2d").source_options()["maxFileAge"] == "2d"
+
+
+def test_a_folder_of_one_machine_is_no_scratch_for_a_cluster():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            new_run_folder(Session(spark_sql_warehouse_dir="file:/home/me/warehouse", spark_master=master), "x")
+    one = Session(spark_sql_warehouse_dir="file:/home/me/warehouse", spark_master="local[8]")
+    assert new_run_folder(one, "x").startswith("file:/home/me/warehouse/scratch/x-")
+
+
+def test_settings_that_hold_for_a_while(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "123")
+    with pytest.raises(KeyError), session_settings(spark, {key: "5", "spark.chirplake.none": "x"}):
+        assert spark.conf.get(key) == "5"
+        raise KeyError
+    assert spark.conf.get(key) == "123" and spark.conf.get("spark.chirplake.none", None) is None
+    spark.conf.unset(key)
+
+
+def test_landing_files_are_moved_only_with_an_archive():
+    assert "cleanSource" not in Settings().landing_options()
+    assert Settings(archive="s3a://x/done").landing_options()["sourceArchiveDir"] == "s3a://x/done"

@@ -340,6 +340,23 @@ def test_readers_list_only_spans_after_a_fold(spark, layout, landing, monkeypatc
             assert read_application(spark, layout).first().total == 4
 
 
+def test_what_a_fold_covers_is_retired_after_its_grace(spark, layout, landing, monkeypatch):
+    monkeypatch.setattr(stages, "BATCHES_PER_SPAN", 2)
+    assert stages.retire_application(spark, layout, 0) == 0
+    for i in range(5):
+        add_file(landing, post(f"@a {i} love"))
+        run_layers(spark, str(landing), layout, FIVE)
+        drain(application_stream(spark, layout, FIVE))
+        if i in (1, 3):
+            fold_application(spark, layout)
+    spans = lambda: sorted(p for p in os.listdir(layout.table("application")) if p.startswith("span"))
+    assert stages.retire_application(spark, layout, 3600) == 0 and spans() == ["span=0", "span=1", "span=2"]
+    time.sleep(0.05)
+    assert stages.retire_application(spark, layout, 0) == 3 and spans() == ["span=2"]
+    assert read_application(spark, layout).first().total == 5
+    assert len(os.listdir(layout.table("application_folded"))) == 1
+
+
 def test_progress_table(spark, layout, landing, tmp_path):
     for i in range(3):
         add_file(landing, post(f"@a @b {i}"))
