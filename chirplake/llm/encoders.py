@@ -20,8 +20,9 @@ from chirplake.llm.common import worker_cache
 MEMORY_CHUNKS = 1_200_000
 LONGEST_REMEMBERED = 48
 
-# One white-space character next to another: the byte-level rule looks across such runs.
-_RUN = re.compile(r"\s\s")
+# White space besides a lone space or line end: the byte-level rule looks across runs of it.
+_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+_WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # Where a space or a line end stands alone between other characters, a token ends before it.
 _ALONE = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _MARK = "\x00"
@@ -91,7 +92,9 @@ class ByteEncoder(dict):
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        if _MARK in text or _RUN.search(text):
+        if _MARK in text or any(run in text for run in _RUNS):
+            return _ALONE.split(text)
+        if not text.isascii() and _WIDE.search(text):
             return _ALONE.split(text)
         return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split(_MARK)
 

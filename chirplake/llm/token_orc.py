@@ -54,7 +54,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     encode = _encoder(tokenizer, end_id)
     (
         placed.select(*keys, encode("text").alias("ids"))
-        .write.option("compression", "zstd")
+        .write.option("compression", "snappy")
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.row.index.stride", ROWS_PER_INDEX)
         .option("orc.create.index", "true")
