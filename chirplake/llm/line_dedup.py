@@ -151,7 +151,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     text, so that rows that share an id but not a text have bitmaps of their own.
     """
     keys = ("h1", "h2", "doc", "tag", "pos")
-    ordered = line_hashes(docs, min_chars).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Stored first, as dealing rows out in ranges looks at them twice.
+    hashes = checkpoint(line_hashes(docs, min_chars))
+    ordered = hashes.repartitionByRange(*keys).sortWithinPartitions(*keys)
     streamed = checkpoint(
         ordered.withColumn("part", F.spark_partition_id()).mapInArrow(_first_occurrences, _STREAMED)
     )
