@@ -17,7 +17,8 @@ import numpy as np
 
 from chirplake.llm.common import worker_cache
 
-MEMORY_CHUNKS = 1_200_000
+MEMORY_CHUNKS = 1_000_000
+MEMORY_PIECE_CHUNKS = 900_000
 LONGEST_REMEMBERED = 48
 
 # White space besides a lone space or line end: the byte-level rule looks across runs of it.
@@ -171,7 +172,7 @@ class PieceEncoder(dict):
             ids = self.processor.encode(chunk[1:].replace("▁", " "), num_threads=1)
         ids = np.array(ids, "<u2").tobytes()
         if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self) >= MEMORY_CHUNKS:
+            if len(self) >= MEMORY_PIECE_CHUNKS:
                 self.clear()
             self[chunk] = ids
         return ids

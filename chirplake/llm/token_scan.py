@@ -22,6 +22,8 @@ from chirplake.llm.encoders import piece_encoder
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
+# Bytes of text that go to one file, on average; a file is read by one task, and its ids are shorter.
+FILE_BYTES = 32 << 20
 DTYPE = "<u2"
 
 _BLOCKS = "file string, block long, n_ids long, ends array<int>"
@@ -32,7 +34,8 @@ def write_flat(docs: DataFrame, path: str, model: str, end_id: int = END_ID) ->
     """Encode all texts with a piece model and write them as flat files of 16-bit ids.
 
     Each document ends with ``end_id``, which the model never gives for text. The rows stay in the
-    partitions they are in, one file each. A null text is a document of no ids but the end.
+    partitions they are in, and a partition makes a file for about every ``FILE_BYTES`` of text. A null text
+    is a document of no ids but the end.
 
     The files are raw: the text writer puts out the bytes of each row as they are, and the
     end id as its line separator, for which its two bytes must be ASCII.
@@ -45,8 +48,15 @@ def write_flat(docs: DataFrame, path: str, model: str, end_id: int = END_ID) ->
         encoder = piece_encoder(model)
         return pa.array([encoder.encode(text) for text in texts.to_pylist()], pa.binary())
 
-    ids = docs.select(encode(whole_text(F.col("text"))).cast("string").alias("value"))
-    ids.write.option("lineSep", chr(end_id) + "\x00").option("compression", "none").text(path)
+    text = whole_text(F.col("text"))
+    mean = docs.agg(F.avg(F.octet_length(text))).first()[0] or 1
+    ids = docs.select(encode(text).cast("string").alias("value"))
+    (
+        ids.write.option("lineSep", chr(end_id) + "\x00")
+        .option("compression", "none")
+        .option("maxRecordsPerFile", max(1, int(FILE_BYTES // max(mean, 1))))
+        .text(path)
+    )
 
 
 def _scan_blocks(end_id: int, dtype: str, block_ids: int):
@@ -80,7 +90,7 @@ def read_blocks(
 ) -> DataFrame:
     """(file, block, n_ids, ends): the places of the end id in each block of each file.
 
-    A file is read by one task as a whole, so files of up to some hundred MB are best.
+    A file is read by one task as a whole; ``write_flat`` bounds its size.
     """
     files = (
         spark.read.format("binaryFile")
@@ -159,12 +169,20 @@ def count_tokens(
 ) -> DataFrame:
     """(document, file, start, n_tokens, complete) of every document in the files at ``path``.
 
-    The files, in the order of their names, are one stream; a document may reach over the edges
+    The files, in the order of the numbers in their names and then of the names, are one stream; a document may reach over the edges
     of blocks and files, and belongs to the file it ends in. ``document`` counts from 0, ``start``
     is its first id's place in the stream, ``n_tokens`` includes the end id. Ids after the last
     end of all are one more document that is not ``complete``. No file, or empty files, give no row.
     """
-    blocks = in_order(read_blocks(spark, path, end_id, dtype, block_ids), "file", "block")
+    found = read_blocks(spark, path, end_id, dtype, block_ids)
+    # Numbers in names are numbers, however many digits they have.
+    name = F.substring_index("file", "/", -1)
+    numbers = {
+        "part": F.coalesce(F.try_to_number(F.regexp_extract(name, r"part-(\d+)", 1), F.lit("9" * 18)), F.lit(0)),
+        "piece": F.coalesce(F.try_to_number(F.regexp_extract(name, r"-c(\d+)", 1), F.lit("9" * 18)), F.lit(0)),
+    }
+    # Stored first, as putting rows in order looks at them twice.
+    blocks = in_order(checkpoint(found.withColumns(numbers)), "part", "piece", "file", "block")
     parts = blocks.select("_part", "n_ids", "ends").mapInArrow(
         _fold_parts, "part long, n_ids long, n_ends long, open long"
     )
