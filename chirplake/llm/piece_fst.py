@@ -1,19 +1,28 @@
 """SentencePiece encoding and decoding by weighted finite-state transducers.
 
-Three machines are compiled from a model file. The normaliser writes the word-start sign for
-spaces and before the text. The pieces are a transducer from characters to ids, weighted in the
-tropical semiring (weights add along a path, the smallest total wins). Byte fallback adds, for a
-character without a piece, a path of its UTF-8 bytes. An input composed with them is a lattice
-over its positions; the encoding is the lattice's shortest path.
+Three machines are compiled from a model file, each a table of transitions. The normaliser has one
+state before the text, from which it writes the word-start sign, and one within it, where it writes
+that sign for a space and any other character as it is. The pieces are a trie: a state for each prefix of a
+piece, an output where a piece ends, and a weight for it in the tropical semiring (weights add along a
+path, the smallest total wins). Byte fallback has a transition for each character without a piece, which
+writes the pieces of its UTF-8 bytes and has the library's weight for the unknown.
+
+An input is composed with the normaliser, and its output, position by position, with pieces and fallback:
+the arcs of that lattice are made as the search reaches them. One search relaxes them by weight and the
+smallest total at the end gives the encoding.
 
 The weight of a piece in a unigram model is its negative log probability. A byte-pair model has no
 such weights: it merges neighbours in order of rank. That order is finite-state as well. A sequence
 of pieces is what the merges give if and only if each two neighbours are what the merges give for
-the two together, so the piece before is part of the state and a transition that the merges would
-not leave has infinite weight. One path of finite weight remains, and it is the model's own
-encoding.
+the two together, so the piece before is part of the state and a transition has the weight 0 where the
+merges would leave it and infinite weight where they would not. A path of finite weight is the model's own
+encoding. Weights are not negative, so an arc cannot improve on a position whose total is no larger than that
+of the position it leaves; for both kinds of model the search leaves such arcs out.
 
 Decoding runs the pieces the other way round.
+
+A null or empty text has no ids; an empty table gives no rows, repeated rows are repeated, and a text of any
+length is encoded whole. Of equal totals the path found first stays, as in the library.
 """
 
 from __future__ import annotations
@@ -83,7 +92,9 @@ class PieceTransducer:
         self.merges = trained.model_type == trained.BPE
         if not self.merges and trained.model_type != trained.UNIGRAM:
             raise ValueError("the model is neither of byte pairs nor unigram")
-        self.prefix = SPACE if rule.add_dummy_prefix else ""
+        # The normaliser: what it writes on entering a text, and its transitions within.
+        self.before_text = SPACE if rule.add_dummy_prefix else ""
+        self.within_text = {ord(" "): SPACE}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN)
         self.ids: dict[str, int] = {}
         self.weights: dict[str, float] = {}
@@ -103,6 +114,8 @@ class PieceTransducer:
             self.surface.append(out)
         self.byte_ids = set(self.bytes.values())
         self.fallback = trained.byte_fallback and len(self.bytes) == 256
+        # What a piece's end writes; characters of the fallback are added as they come.
+        self.outputs: dict[str, tuple[int, ...]] = {piece: (i,) for piece, i in self.ids.items()}
         # One state per prefix of a piece; the empty string leads to the piece that ends there.
         self.trie: dict = {}
         for piece in self.weights:
@@ -118,12 +131,13 @@ class PieceTransducer:
         }
         self.apart = not any(after == SPACE and before != SPACE for before, after in self.neighbours)
         self.histories: dict[str, tuple[bool, list[tuple[float, str, str]]]] = {}
-        self.stays: dict[tuple[str, str], bool] = {}
+        self.arc_weights: dict[tuple[str, str], float] = {}
         self.memory = _Memory(self)
         codecs.register_error("one_byte", _replace_byte)
 
     def normalise(self, text: str) -> str:
-        return self.prefix + text.replace(" ", SPACE) if text else ""
+        """The text composed with the normaliser."""
+        return self.before_text + text.translate(self.within_text) if text else ""
 
     def _history(self, piece: str) -> tuple[bool, list[tuple[float, str, str]]]:
         """Whether merges reach a piece, and each step: rank of the next merge, first and last part."""
@@ -165,68 +179,59 @@ class PieceTransducer:
             else:
                 j += 1
 
-    def shortest_path(self, chunk: str) -> list[str]:
-        """The pieces, and characters without one, along the best path through the lattice."""
-        arc = self._finite_arcs(chunk) if self.merges else self._cheapest_arcs(chunk)
-        path, at = [], len(chunk)
-        while at:
-            path.append(arc[at])
-            at -= len(arc[at])
-        return path[::-1]
+    def _weight(self, before: str, piece: str, start: int) -> float:
+        """The weight of the transition that ends a piece, after the piece before it.
 
-    def _cheapest_arcs(self, chunk: str) -> list[str]:
-        """For each position the last arc of the path with the smallest total weight to it."""
-        n = len(chunk)
-        total, arc = [0.0] + [_INFINITE] * n, [""] * (n + 1)
-        for start in range(n):
-            node = self.trie
-            for stop in range(start + 1, n + 1):
-                node = node.get(chunk[stop - 1], _NOWHERE)
-                piece = node.get("")
-                if piece is not None:
-                    weight = total[start] + self.weights[piece]
-                elif stop == start + 1:
-                    piece, weight = chunk[start], total[start] + self.unknown_weight
-                elif not node:
-                    break
-                else:
-                    continue
-                if weight < total[stop]:
-                    total[stop], arc[stop] = weight, piece
-        return arc
-
-    def _finite_arcs(self, chunk: str) -> list[str]:
-        """For each position the last arc of the one path of finite weight to it.
-
-        The piece before is the state, and a position has one path, so one arc holds it all.
+        In a unigram model the piece's own, or that of the unknown. In a byte-pair model 0 if the merges
+        leave the two side by side, infinite if not.
         """
-        n, root, stays = len(chunk), self.trie, self.stays
-        arc = [""] * (n + 1)
+        if not self.merges:
+            return self.weights.get(piece, self.unknown_weight)
+        allowed = self._allowed(before, piece) if start else self._history(piece)[0]
+        return 0.0 if allowed else _INFINITE
+
+    def shortest_path(self, chunk: str) -> list[str]:
+        """The pieces, and characters without one, along the path of the smallest total weight."""
+        n, root, known = len(chunk), self.trie, self.arc_weights
+        total, arc = [0.0] + [_INFINITE] * n, [""] * (n + 1)
         for start in range(n):
-            before, node = arc[start], root
+            here, before, node = total[start], arc[start], root
+            if here == _INFINITE:
+                continue
             for stop in range(start + 1, n + 1):
                 node = node.get(chunk[stop - 1], _NOWHERE)
-                if arc[stop]:
+                if total[stop] <= here:  # no arc from here is better
                     if not node:
                         break
                     continue
                 piece = node.get("")
                 if piece is None:
                     if stop == start + 1:
-                        piece = chunk[start]
+                        piece = chunk[start]  # the fallback's transition
                     elif not node:
                         break
                     else:
                         continue
-                allowed = stays.get((before, piece))
-                if allowed is None:
-                    allowed = self._allowed(before, piece) if start else self._history(piece)[0]
-                    if len(stays) >= MEMORY_PAIRS:
-                        stays.clear()
-                    stays[before, piece] = allowed
-                if allowed:
-                    arc[stop] = piece
-        return arc
+                weight = known.get((before, piece))
+                if weight is None:
+                    weight = self._weight(before, piece, start)
+                    if len(known) >= MEMORY_PAIRS:
+                        known.clear()
+                    known[before, piece] = weight
+                if here + weight < total[stop]:
+                    total[stop], arc[stop] = here + weight, piece
+        path, at = [], n
+        while at:
+            path.append(arc[at])
+            at -= len(arc[at])
+        return path[::-1]
+
+    def _fallback(self, char: str) -> tuple[int, ...]:
+        """What the fallback writes for a character, compiled when it is first met."""
+        ids = tuple(self.bytes[b] for b in char.encode("utf-8", "surrogatepass")) if self.fallback else (self.unknown,)
+        if len(self.outputs) < MEMORY_PAIRS:
+            self.outputs[char] = ids
+        return ids
 
     def _cut(self, chunk: str) -> list[str]:
         """The chunk cut where two characters meet that no piece has side by side."""
@@ -244,13 +249,7 @@ class PieceTransducer:
             return b"".join(map(self.memory.__getitem__, parts))
         out = array("i")
         for piece in self.shortest_path(chunk):
-            known = self.ids.get(piece)
-            if known is not None:
-                out.append(known)
-            elif self.fallback:
-                out.extend(self.bytes[b] for b in piece.encode("utf-8", "surrogatepass"))
-            else:
-                out.append(self.unknown)
+            out.extend(self.outputs.get(piece) or self._fallback(piece))
         if sys.byteorder == "big":
             out.byteswap()
         return out.tobytes()
@@ -268,7 +267,7 @@ class PieceTransducer:
         ids = list(ids)
         raw = b"".join(map(self.surface.__getitem__, ids))
         first = next((i for i in ids if self.surface[i]), self.unknown)
-        if self.prefix and first != self.unknown and raw[:1] == b" " and first not in self.byte_ids:
+        if self.before_text and first != self.unknown and raw[:1] == b" " and first not in self.byte_ids:
             raw = raw[1:]
         return raw.decode("utf-8", "one_byte")
 
