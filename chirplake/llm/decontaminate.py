@@ -1,10 +1,12 @@
 """Benchmark decontamination in DataFrame functions only.
 
 Every run of ten words of a test item is a window; an item of fewer words is one window as a
-whole. The hashes of all windows set bits in a fixed bitmap that goes to every task with the
-plan. A document's windows are hashed where the document lies; those whose bit is set come
-out as words and meet the broadcast windows in a hash join on the words themselves, which
-verifies the hit. No document text is shuffled to find hits.
+whole. The hash of a window sets two bits in a bitmap that goes to every task with the plan. A
+document's windows are hashed where the document lies; those whose bits are set come out as words
+and meet the broadcast windows in a hash join on the words themselves, which verifies the hit. No
+document text is shuffled to find hits. The bitmap grows with the windows up to a bound on its memory;
+beyond it the windows are taken in blocks, each one pass over the documents with a bitmap of its own,
+so few windows come out that are no hits, however large the benchmark.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ WINDOW = 10
 # Digits, letters after lower-casing, and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-MIN_BITS, MAX_BITS = 1 << 16, 1 << 21
+# Bits of a bitmap: 64 for each window where there is room, 16 at least. The most are 2 MB.
+MIN_BITS, MAX_BITS = 1 << 16, 1 << 24
+BITS_WANTED, BITS_LEAST = 64, 16
 # Windows are broadcast up to this many bytes of text, and joined by a shuffle beyond.
 BROADCAST_BYTES = 64 << 20
 
@@ -60,13 +64,20 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     ).agg(F.collect_set("item").alias("items"))
 
 
+def _places(hashed: Column, bits: int) -> tuple[Column, Column]:
+    """The two bits of a hash, from its lower and its upper half."""
+    last = F.lit(bits - 1)
+    return hashed.bitwiseAND(last), F.shiftright(hashed, 32).bitwiseAND(last)
+
+
 def _bitmap(windows: DataFrame, bits: int) -> Column:
-    """A constant array of longs with the bit ``hash mod bits`` of every window set."""
-    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    """A constant array of longs with both bits of every window set."""
+    place = F.explode(F.array(*_places(F.col("hash"), bits)))
     words = (
-        windows.select(
-            F.shiftright(place, 6).alias("word"),
-            F.expr(f"shiftleft(1L, cast(hash & 63L as int))").alias("bit"),
+        windows.select(place.alias("place"))
+        .select(
+            F.shiftright("place", 6).alias("word"),
+            F.expr("shiftleft(1L, cast(place & 63L as int))").alias("bit"),
         )
         .groupBy("word")
         .agg(F.bit_or("bit").alias("word_bits"))
@@ -78,31 +89,26 @@ def _bitmap(windows: DataFrame, bits: int) -> Column:
 
 
 def _is_set(bitmap: Column, hashed: Column, bits: int) -> Column:
-    place = F.shiftright(hashed.bitwiseAND(F.lit(bits - 1)), 6).cast("int")
-    return F.getbit(F.get(bitmap, place), hashed.bitwiseAND(F.lit(63)).cast("int")) == 1
+    first, second = (
+        F.getbit(
+            F.get(bitmap, F.shiftright(place, 6).cast("int")), place.bitwiseAND(F.lit(63)).cast("int")
+        )
+        == 1
+        for place in _places(hashed, bits)
+    )
+    return first & second
 
 
-def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document: (doc_id, tag, n_words, hits, items).
+def _candidates(worded: DataFrame, windows: DataFrame, sizes: list) -> DataFrame:
+    """``worded`` without its words, a row for each window whose bits are set: (first, length, gram).
 
-    ``hits`` are the verified occurrences as (first word from 0, words), ``items`` the ids as
-    strings of the items whose windows occur. ``tag`` is the hash of the text: rows of one id
-    with different texts are told apart, equal rows are one document. A null text has no words.
+    ``sizes`` has a row for each length of the windows. A document without any has one row of nulls.
     """
-    windows = checkpoint(benchmark_windows(items, window))
-    sizes = windows.groupBy("length").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("gram")).alias("bytes")
-    )
-    sizes = sizes.collect()  # one row for each length from 1 to the window
     n_windows = sum(row["n"] for row in sizes)
     bits = MIN_BITS
-    while bits < min(64 * n_windows, MAX_BITS):
+    while bits < min(BITS_WANTED * n_windows, MAX_BITS):
         bits *= 2
     bitmap = _bitmap(windows, bits)
-
-    worded = docs.select(
-        F.col("doc_id"), text_tag(F.col("text")).alias("tag"), words_of(F.col("text")).alias("words")
-    ).withColumn("n_words", F.size("words"))
     words, n_words = F.col("words"), F.col("n_words")
 
     def candidates(length: int) -> Column:
@@ -121,16 +127,42 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
             ),
         )
 
-    lengths = sorted(row["length"] for row in sizes)
     nothing = F.array().cast("array<struct<first:int,length:int,gram:string>>")
-    found = F.concat(nothing, *[candidates(length) for length in lengths])
-    spread = worded.select(
-        "doc_id", "tag", "n_words", F.explode_outer(found).alias("at")
-    ).select("doc_id", "tag", "n_words", "at.*")
-    known = windows.select("gram", "items")
+    found = F.concat(nothing, *[candidates(length) for length in sorted(row["length"] for row in sizes)])
+    spread = worded.select("doc_id", "tag", "n_words", F.explode_outer(found).alias("at"))
+    return spread.select("doc_id", "tag", "n_words", "at.*")
+
+
+def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per document: (doc_id, tag, n_words, hits, items).
+
+    ``hits`` are the verified occurrences as (first word from 0, words), ``items`` the ids as
+    strings of the items whose windows occur. ``tag`` is the hash of the text: rows of one id
+    with different texts are told apart, equal rows are one document. A null text has no words. Without
+    documents there are no rows, without items no hits. Long texts are searched whole.
+    """
+    windows = checkpoint(benchmark_windows(items, window))
+    n_blocks = -(-windows.count() // (MAX_BITS // BITS_LEAST))
+    block = F.pmod(F.shiftright("hash", 16), F.lit(max(n_blocks, 1)))
+    windows = windows.withColumn("block", block)
+    sizes = windows.groupBy("block", "length").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("gram")).alias("bytes")
+    )
+    sizes = sizes.collect()  # for each block one row for each length from 1 to the window
+    worded = docs.select(
+        F.col("doc_id"), text_tag(F.col("text")).alias("tag"), words_of(F.col("text")).alias("words")
+    ).withColumn("n_words", F.size("words"))
+    spread = None
+    for number in range(max(n_blocks, 1)):
+        own = [row for row in sizes if row["block"] == number]
+        part = _candidates(worded, windows.where(F.col("block") == number), own)
+        spread = part if spread is None else spread.unionByName(part)
+    known = windows.select(F.col("gram").alias("key"), "items")
     if sum(row["bytes"] for row in sizes) <= BROADCAST_BYTES:
         known = F.broadcast(known)
-    verified = spread.join(known, "gram", "left")
+    # Beyond that the join shuffles; documents without a candidate have a key each, not one for all.
+    none = F.concat(F.lit("\x00"), F.hex(F.xxhash64("doc_id", "tag")))
+    verified = spread.withColumn("key", F.coalesce("gram", none)).join(known, "key", "left")
     hit = F.when(F.col("items").isNotNull(), F.struct("first", "length"))
     return (
         verified.groupBy("doc_id", "tag")

@@ -177,6 +177,8 @@ _KEY = r"""regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
+_WINDOW_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": rf"""
 WITH split AS (
@@ -194,6 +196,75 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op7_decontaminate": rf"""
+WITH items AS (
+  SELECT item, words, len(words) AS n, least(10, len(words)) AS k
+  FROM (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+          regexp_extract_all({_LOWER.format("text")}, '{_WINDOW_WORD}') AS words FROM benchmark)
+  WHERE len(words) > 0
+), grams AS (
+  SELECT DISTINCT item, k, array_to_string(words[i:i + k - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, n - k + 2)) AS i FROM items)
+), docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format("text")}, '{_WINDOW_WORD}'), []) AS words
+  FROM documents
+), hits AS (
+  SELECT doc_id, i, k, item
+  FROM (SELECT doc_id, k, i, array_to_string(words[i:i + k - 1], ' ') AS gram
+        FROM (SELECT *, unnest(range(1, len(words) - k + 2)) AS i
+              FROM docs, (SELECT DISTINCT k FROM grams)))
+  JOIN grams USING (k, gram)
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS place FROM hits) GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+    "op8_host_rules": rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), lines AS (
+  SELECT row, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM split)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row
+), windows AS (
+  SELECT row, i, count(*) OVER (PARTITION BY row, gram) AS times
+  FROM (SELECT row, i, array_to_string(words[i:i + 4], ' ') AS gram
+        FROM (SELECT row, words, unnest(range(1, len(words) - 3)) AS i FROM split))
+), repeats AS (
+  SELECT row, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT row, unnest(range(i, i + 5)) AS place FROM windows WHERE times > 1) GROUP BY row
+), measured AS (
+  SELECT doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM split LEFT JOIN lines USING (row) LEFT JOIN repeats USING (row)
+), failed AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
+), hosts AS (
+  SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS bad
+  FROM failed GROUP BY source
+), totals AS (
+  SELECT count(*) AS hosts, sum(n) AS n, sum(bad) / sum(n) AS mean, sum(n * n) AS squares FROM hosts
+), spread AS (
+  SELECT any_value(mean) AS mean, any_value(mean) * (1 - any_value(mean)) AS chance,
+    (sum(h.n * (bad / h.n - mean) ** 2) - (any_value(hosts) - 1) * any_value(mean) * (1 - any_value(mean)))
+      / nullif(any_value(t.n) - any_value(squares) / any_value(t.n), 0) AS beyond
+  FROM hosts h, totals t
+), verdicts AS (
+  SELECT source, CASE WHEN beyond > 0 AND chance > 0
+      THEN (bad + mean * greatest(chance / beyond - 1, 1)) / (n + greatest(chance / beyond - 1, 1))
+      ELSE mean END > 0.8 AS host_rejected
+  FROM hosts, spread
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT host_rejected AS kept, f.source, host_rejected
+FROM failed f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source""",
     "op12_bag_search": rf"""
 WITH doc_terms AS (
   SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS terms

@@ -388,3 +388,38 @@ def test_only_the_most_frequent_words_are_remembered(spark):
     path = q.tokenizer_file(q.RANKS)
     for most, wanted in ((2, {" qzxjw", " vvkqj"}), (1, {" qzxjw"}), (0, set()), (9, {" qzxjw", " vvkqj", " jjxqk"})):
         assert {r[0] for r in rank_fold.frequent_words(frame, path, most).collect()} == wanted
+
+
+@pytest.mark.parametrize("joined", ["broadcast", "shuffled"])
+def test_few_candidates_however_many_windows(spark, sf_dir, monkeypatch, joined):
+    """Far more windows than a bitmap has room for: taken in blocks, with few that are no hits."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 400")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    monkeypatch.setattr(decontaminate, "MIN_BITS", 1 << 12)
+    monkeypatch.setattr(decontaminate, "MAX_BITS", 1 << 12)
+    if joined == "shuffled":
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    counted, made = [], decontaminate._candidates
+
+    def counting(*args):
+        found = made(*args)
+        counted.append(found.where("gram is not null").count())
+        return found
+
+    monkeypatch.setattr(decontaminate, "_candidates", counting)
+    try:
+        hits = decontaminate.find_hits(docs, items).collect()
+        plan = decontaminate.find_hits(docs, items)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    n_windows = decontaminate.benchmark_windows(items).count()
+    n_words = sum(len(brute.bench_words(r["text"])) for r in docs.collect())
+    true = sum(len(row["hits"]) for row in hits)
+    blocks = -(-n_windows // ((1 << 12) // decontaminate.BITS_LEAST))
+    assert blocks > 1 and len(counted) == 2 * blocks
+    assert true <= sum(counted[:blocks]) < true + 0.03 * n_words * blocks
+    wanted = brute.decontaminate(pairs(docs, "doc_id", "text"), pairs(items, "item_id", "text"))
+    assert sorted((r["doc_id"], r["n_words"], len(r["items"])) for r in hits) == sorted((w[0], w[1], w[3]) for w in wanted)
+    if joined == "shuffled":
+        assert "SortMergeJoin [key#" in plan
