@@ -94,7 +94,7 @@ class PieceTransducer:
             raise ValueError("the model is neither of byte pairs nor unigram")
         # The normaliser: what it writes on entering a text, and its transitions within.
         self.before_text = SPACE if rule.add_dummy_prefix else ""
-        self.within_text = {ord(" "): SPACE}
+        self.within_text = {" ": SPACE}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN)
         self.ids: dict[str, int] = {}
         self.weights: dict[str, float] = {}
@@ -114,8 +114,8 @@ class PieceTransducer:
             self.surface.append(out)
         self.byte_ids = set(self.bytes.values())
         self.fallback = trained.byte_fallback and len(self.bytes) == 256
-        # What a piece's end writes; characters of the fallback are added as they come.
-        self.outputs: dict[str, tuple[int, ...]] = {piece: (i,) for piece, i in self.ids.items()}
+        # What the fallback writes for a character, added as they come.
+        self.outputs: dict[str, tuple[int, ...]] = {}
         # One state per prefix of a piece; the empty string leads to the piece that ends there.
         self.trie: dict = {}
         for piece in self.weights:
@@ -136,8 +136,12 @@ class PieceTransducer:
         codecs.register_error("one_byte", _replace_byte)
 
     def normalise(self, text: str) -> str:
-        """The text composed with the normaliser."""
-        return self.before_text + text.translate(self.within_text) if text else ""
+        """The text composed with the normaliser, one transition after the other: none reads what another wrote."""
+        if not text:
+            return ""
+        for char, sign in self.within_text.items():
+            text = text.replace(char, sign)
+        return self.before_text + text
 
     def _history(self, piece: str) -> tuple[bool, list[tuple[float, str, str]]]:
         """Whether merges reach a piece, and each step: rank of the next merge, first and last part."""
@@ -193,33 +197,34 @@ class PieceTransducer:
     def shortest_path(self, chunk: str) -> list[str]:
         """The pieces, and characters without one, along the path of the smallest total weight."""
         n, root, known = len(chunk), self.trie, self.arc_weights
+        # A position that no arc has reached yet has no total.
         total, arc = [0.0] + [_INFINITE] * n, [""] * (n + 1)
         for start in range(n):
             here, before, node = total[start], arc[start], root
             if here == _INFINITE:
                 continue
             for stop in range(start + 1, n + 1):
-                node = node.get(chunk[stop - 1], _NOWHERE)
-                if total[stop] <= here:  # no arc from here is better
-                    if not node:
+                node = node.get(chunk[stop - 1])
+                if node is None:
+                    if stop > start + 1:
                         break
+                    node = _NOWHERE
+                if total[stop] <= here:  # no arc from here is better
                     continue
                 piece = node.get("")
                 if piece is None:
-                    if stop == start + 1:
-                        piece = chunk[start]  # the fallback's transition
-                    elif not node:
-                        break
-                    else:
+                    if stop > start + 1:
                         continue
+                    piece = chunk[start]  # the fallback's transition
                 weight = known.get((before, piece))
                 if weight is None:
                     weight = self._weight(before, piece, start)
                     if len(known) >= MEMORY_PAIRS:
                         known.clear()
                     known[before, piece] = weight
-                if here + weight < total[stop]:
-                    total[stop], arc[stop] = here + weight, piece
+                weight += here
+                if weight < total[stop]:
+                    total[stop], arc[stop] = weight, piece
         path, at = [], n
         while at:
             path.append(arc[at])
@@ -249,7 +254,11 @@ class PieceTransducer:
             return b"".join(map(self.memory.__getitem__, parts))
         out = array("i")
         for piece in self.shortest_path(chunk):
-            out.extend(self.outputs.get(piece) or self._fallback(piece))
+            known = self.ids.get(piece)
+            if known is not None:
+                out.append(known)
+            else:
+                out.extend(self.outputs.get(piece) or self._fallback(piece))
         if sys.byteorder == "big":
             out.byteswap()
         return out.tobytes()
