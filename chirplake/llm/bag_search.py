@@ -89,7 +89,10 @@ def _block(ids: list, terms: dict[bytes, int], held: list[list[int]]) -> ItemBlo
 
 
 def _shared(docs: DataFrame, value):
-    """A value of bounded size that every task needs, sent to each executor once."""
+    """A value of bounded size that every task needs, sent to each executor once.
+
+    Plain values and arrays only: an executor need not have this package.
+    """
     return docs.sparkSession.sparkContext.broadcast(value)
 
 
@@ -179,14 +182,18 @@ def _contributions(pairs: np.ndarray, m: np.ndarray, weights: np.ndarray) -> np.
 
 
 def _class_scores(
-    bags_: list[bytes], m: np.ndarray, index: ItemBlock, weights: np.ndarray
+    bags_: list[bytes], m: np.ndarray, index: tuple[int, np.ndarray, np.ndarray], weights: np.ndarray
 ) -> Iterator[tuple[int, np.ndarray]]:
-    """(first class, scores for all items, one row for each class), some classes at a time."""
+    """(first class, scores for all items, one row for each class), some classes at a time.
+
+    ``index`` is the number of items, and ``starts`` and ``items`` of their block.
+    """
+    n_items, starts, items = index
     pairs = np.frombuffer(b"".join(bags_), _PAIR)
     ends = np.cumsum([len(bag) // _PAIR.itemsize for bag in bags_])
-    postings = np.diff(index.starts)[pairs["term"]]
+    postings = np.diff(starts)[pairs["term"]]
     # Each pair once for every item that holds its term, and a score for each class and item.
-    held = np.cumsum(postings)[ends - 1] + np.arange(1, len(bags_) + 1) * len(index.ids)
+    held = np.cumsum(postings)[ends - 1] + np.arange(1, len(bags_) + 1) * n_items
     cuts = [0, *(np.flatnonzero(np.diff(held // HELD_AT_ONCE)) + 1).tolist(), len(bags_)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         some = slice(ends[a - 1] if a else 0, ends[b - 1])
@@ -194,9 +201,9 @@ def _class_scores(
         row = np.repeat(np.arange(b - a), np.diff(ends[a:b], prepend=some.start))
         gained = _contributions(pairs[some], m[a:b][row], weights)
         stops = np.cumsum(counts)
-        place = np.arange(stops[-1]) - np.repeat(stops - counts - index.starts[pairs["term"][some]], counts)
-        cell = np.repeat(row * len(index.ids), counts) + index.items[place]
-        sums = np.bincount(cell, np.repeat(gained, counts), (b - a) * len(index.ids))
+        place = np.arange(stops[-1]) - np.repeat(stops - counts - starts[pairs["term"][some]], counts)
+        cell = np.repeat(row * n_items, counts) + items[place]
+        sums = np.bincount(cell, np.repeat(gained, counts), (b - a) * n_items)
         yield a, sums.reshape(b - a, -1).astype(np.int64)
 
 
@@ -215,11 +222,11 @@ def _score_classes(index, weights, best: int):
     """A task's best classes of each item; what is kept is bounded by items and ``best``."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, weight = index.value, weights.value
+        weight = weights.value
         kept = {name: np.zeros(0, np.int64) for name in ("item", "score", "first", "hash", "m")}
         kept_bags = np.zeros(0, object)
         # From the tenth best score on; at that score a smaller id still gets in.
-        least = np.ones(len(block.ids), np.int64)
+        least = np.ones(index.value[0], np.int64)
         for batch in batches:
             bags_ = batch.column("bag").to_pylist()
             if not bags_:
@@ -228,7 +235,7 @@ def _score_classes(index, weights, best: int):
             m, hashed = (batch.column(name).to_numpy() for name in ("m", "hash"))
             # Without an id a class comes after all others of its score.
             first = batch.column("first").fill_null(_LAST).to_numpy()
-            for at, scores in _class_scores(bags_, m, block, weight):
+            for at, scores in _class_scores(bags_, m, index.value, weight):
                 row, item = np.nonzero(scores >= least)
                 of = row + at
                 new = {
@@ -270,7 +277,7 @@ def search_block(docs: DataFrame, block: ItemBlock, best: int = BEST) -> DataFra
     longest = int(np.bincount(block.items, minlength=len(block.ids)).max())
     if longest * int(weights.max()) * (TERM_SCALE // SCALE) >= EXACT:
         raise OverflowError("scores of an item of this many terms are not exact in doubles")
-    index = ItemBlock(block.ids, {}, block.starts, block.items)
+    index = (len(block.ids), block.starts, block.items)
     scored = classes(found, n_docs, n_terms).select("first", "hash", "m", "bag").mapInArrow(
         _score_classes(_shared(docs, index), _shared(docs, weights), best), _TOP
     )
