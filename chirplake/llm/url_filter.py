@@ -22,7 +22,8 @@ from pyspark.sql.functions import arrow_udf
 
 from chirplake.llm.common import checkpoint, lower_ascii, whole_text
 
-LONGEST_WORD = 24
+# A label of a host name has no more characters, so no longer word can be a part of one.
+LONGEST_WORD = 63
 # Hashed token buckets: the model is this large, however many tokens there are.
 BUCKETS = 1 << 16
 SMOOTHING = 1.0
@@ -220,7 +221,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     A rule decides where one fits. Elsewhere the model does: block if the log odds ``score`` are
     above 0, which without any token they are only if the rules block most pages. ``score`` comes
-    for all pages. Repeated rows stay repeated; a null url has an empty host and path.
+    for all pages. Repeated rows stay repeated; a null url has an empty host and path. A null or empty
+    ``html`` adds no words, long ones are read whole, and an empty table gives no rows. Equally cheap
+    ways to split a name go to the one with the longest last word.
     """
     host, path = url_parts(F.col("url"))
     urls = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"))
