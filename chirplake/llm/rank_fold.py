@@ -20,12 +20,14 @@ import re
 import unicodedata
 import uuid
 import zlib
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -34,10 +36,10 @@ from pyspark.sql.types import BinaryType
 from chirplake.llm.common import checkpoint, free_name, whole_text, worker_cache
 from chirplake.llm.encoders import ByteEncoder, is_letters, trailing_marks
 
-# Words folded once and sent to the tasks, at most.
-REMEMBERED = 250_000
+# Words folded once and sent to the tasks, at most: some 40 bytes each.
+REMEMBERED = 600_000
 # Chunks a task keeps in mind: between two reports of its counts, and with their ids.
-COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 150_000, 200_000, 48
+COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 150_000, 120_000, 48
 # The fold takes time by the square of a word's bytes; longer words are merged by a heap.
 FOLD_BYTES = 256
 BUCKETS = 1 << 16
@@ -273,18 +275,56 @@ def frequent_words(texts: DataFrame, path: str, most: int = REMEMBERED) -> DataF
     return words.where(F.col("times") >= least).select("word") if held else words.select("word").limit(0)
 
 
+class Remembered:
+    """Words and their ids in a few flat arrays, by ascending hash of the word; see ``flat_words``.
+
+    A dictionary of as many words would fill several times the memory of every worker process.
+    """
+
+    def __init__(self, hashes: array, word_ends: array, words: bytes, id_ends: array, ids: bytes) -> None:
+        self.hashes = hashes
+        self.word_ends, self.words = word_ends, words
+        self.id_ends, self.ids = id_ends, ids
+
+    def get(self, word: bytes) -> bytes | None:
+        hashed = xxhash.xxh64_intdigest(word)
+        at = bisect_left(self.hashes, hashed)
+        while at < len(self.hashes) and self.hashes[at] == hashed:
+            if self.words[self.word_ends[at] : self.word_ends[at + 1]] == word:
+                return self.ids[self.id_ends[at] : self.id_ends[at + 1]]
+            at += 1
+        return None
+
+
+def flat_words(words: pa.Array, ids: pa.Array) -> tuple[array, array, bytes, array, bytes]:
+    """Words and the ids of each as the arrays of ``Remembered``, plain values that any process can read."""
+    hashes = np.array([xxhash.xxh64_intdigest(word) for word in words.to_pylist()], np.uint64)
+    order = np.argsort(hashes, kind="stable")
+    words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
+    lists = [row.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() for row in ids]
+    sorted_words = [word.encode() for word in words.to_pylist()]
+    return array("Q", hashes[order].tobytes()), *_flat(sorted_words), *_flat(lists)
+
+
+def _flat(parts: list[bytes]) -> tuple[array, bytes]:
+    """Where each part begins and the last one ends, and all of them joined."""
+    ends = np.zeros(len(parts) + 1, np.uint64)
+    np.cumsum([len(part) for part in parts], out=ends[1:])
+    return array("Q", ends.tobytes()), b"".join(parts)
+
+
 class _Lookup(dict):
     """Ids of chunks made of remembered words; other chunks give their parts: ids, or words to fold."""
 
-    def __init__(self, remembered: dict[str, bytes], ranks: dict[bytes, int]) -> None:
+    def __init__(self, remembered: Remembered, ranks: dict[bytes, int]) -> None:
         self.remembered, self.ranks = remembered, ranks
 
     def word(self, word: str) -> bytes | str:
-        if (ids := self.remembered.get(word)) is not None:
-            return ids
         raw = word.encode()
         if (rank := self.ranks.get(raw)) is not None:
             return rank.to_bytes(4, "little")
+        if (ids := self.remembered.get(raw)) is not None:
+            return ids
         if len(raw) > FOLD_BYTES:
             return np.array(merge_by_heap(raw, self.ranks), "<u4").tobytes()
         return word
@@ -329,12 +369,7 @@ def _look_up(remembered, path: str):
     def look_up(texts: pa.Array) -> pa.Array:
         kept = worker_cache("rank_lookup")
         if kept.get("key") != key:
-            words, ids = remembered.value
-            raw = np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), "<u4").tobytes()
-            edges = (4 * ids.offsets.to_numpy()).tolist()
-            spans = (raw[a:b] for a, b in pairwise(edges))
-            table = dict(zip(words.to_pylist(), spans, strict=True))
-            kept.update(key=key, lookup=_Lookup(table, _ranks(path)))
+            kept.update(key=key, lookup=_Lookup(Remembered(*remembered.value), _ranks(path)))
         rows = [kept["lookup"].known_and_open(text) for text in texts.to_pylist()]
         columns = zip(*rows, strict=True) if rows else ([], [], [])
         kinds = (pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string()))
@@ -380,9 +415,8 @@ def encode(docs: DataFrame, path: str, remembered: int = REMEMBERED, buckets: in
     frequent = frequent_words(docs.select(text.alias("text")), path, remembered)
     folded = frequent.select("word", fold_words(F.array("word"), ranks, buckets)[0].alias("ids"))
     table = folded.toArrow()  # ``remembered`` rows at most
-    sent = docs.sparkSession.sparkContext.broadcast(
-        tuple(table.column(name).combine_chunks() for name in ("word", "ids"))
-    )
+    flat = flat_words(*(table.column(name).combine_chunks() for name in ("word", "ids")))
+    sent = docs.sparkSession.sparkContext.broadcast(flat)
     at, words = (free_name(docs, name) for name in ("_open", "_folded"))
     found = docs.withColumn(at, _look_up(sent, path)(text))
     found = found.withColumn(words, fold_words(F.col(f"{at}.words"), ranks, buckets))
