@@ -1,7 +1,7 @@
 """Byte-level BPE by ranks: Spark's higher-order functions fold the merges of distinct words.
 
-A word is an array of pieces, one for each byte at first, and the ranks of its neighbouring pairs. Each
-step of a fold joins the leftmost pair of the lowest rank and looks up the two pairs it has
+A word is an array of pieces, one for each byte at first, each with the rank of the pair it makes with the
+next. Each step of a fold joins the leftmost pair of the lowest rank and looks up the two pairs it has
 changed, until no pair has a rank. The ranks are one literal: an array of small maps, addressed by
 hash, from a piece (its bytes as hexadecimal digits) to its rank.
 
@@ -87,46 +87,41 @@ def fold_words(words: Column, ranks: Column, buckets: int = BUCKETS) -> Column:
     def rank(piece: Column, known: Column) -> Column:
         return _rank(known, piece, buckets)
 
-    def joined(state: Column, k: Column, known: Column) -> Column:
-        """``state`` with pair k, from 1, made one piece."""
-        parts, pairs = state["parts"], state["pairs"]
-        piece = F.concat(F.get(parts, k - 1), F.get(parts, k))
-        none = F.array().cast("array<int>")
+    def joined(parts: Column, k: Column, known: Column) -> Column:
+        """``parts`` with the pair that begins at part k, from 1, made one part."""
+
+        def ranked(piece: Column, following: Column) -> Column:
+            return F.struct(piece.alias("piece"), rank(F.concat(piece, following), known).alias("pair"))
 
         def with_piece(new: Column) -> Column:
-            left = F.when(k >= 2, F.array(rank(F.concat(F.get(parts, k - 2), new), known))).otherwise(none)
-            right = F.when(
-                k + 1 < F.size(parts), F.array(rank(F.concat(new, F.get(parts, k + 1)), known))
-            ).otherwise(none)
-            return F.struct(
-                F.concat(
-                    F.slice(parts, 1, k - 1), F.array(new), F.slice(parts, k + 2, F.size(parts))
-                ).alias("parts"),
-                F.concat(
-                    F.slice(pairs, 1, F.greatest(k - 2, F.lit(0))),
-                    left,
-                    right,
-                    F.slice(pairs, k + 2, F.size(parts)),
-                ).alias("pairs"),
-            )
+            def changed(part: Column, i: Column) -> Column:
+                return (
+                    F.when(i == k - 1, ranked(new, F.get(parts, k + 1)["piece"]))
+                    .when(i == k - 2, ranked(part["piece"], new))
+                    .when(i != k, part)
+                )
+
+            return F.filter(F.transform(parts, changed), lambda part: part.isNotNull())
 
-        return _let(piece, with_piece)
+        return _let(F.concat(F.get(parts, k - 1)["piece"], F.get(parts, k)["piece"]), with_piece)
 
     def merged(digits: Column, known: Column) -> Column:
-        def step(state: Column, _: Column) -> Column:
-            lowest = F.array_position(state["pairs"], F.array_min(state["pairs"])).cast("int")
-            return _let(lowest, lambda k: F.when(k.isNull(), state).otherwise(joined(state, k, known)))
-
-        def of_bytes(parts: Column) -> Column:
-            pairs = F.transform(
-                F.slice(parts, 1, F.size(parts) - 1),
-                lambda part, i: rank(F.concat(part, F.get(parts, i + 1)), known),
+        def step(parts: Column, _: Column) -> Column:
+            lowest = F.array_position(parts["pair"], F.array_min(parts["pair"])).cast("int")
+            return _let(lowest, lambda k: F.when(k.isNull(), parts).otherwise(joined(parts, k, known)))
+
+        def of_bytes(single: Column) -> Column:
+            parts = F.transform(
+                single,
+                lambda piece, i: F.struct(
+                    piece.alias("piece"),
+                    rank(F.concat(piece, F.get(single, i + 1)), known).alias("pair"),
+                ),
             )
-            state = F.struct(parts.alias("parts"), pairs.alias("pairs"))
-            return F.aggregate(F.sequence(F.lit(2), F.size(parts)), state, step, lambda end: end["parts"])
+            return F.aggregate(F.sequence(F.lit(2), F.size(single)), parts, step)
 
         parts = _let(F.regexp_extract_all(digits, F.lit(".."), F.lit(0)), of_bytes)
-        return F.transform(parts, lambda part: rank(part, known))
+        return F.transform(parts, lambda part: rank(part["piece"], known))
 
     def ids(word: Column, known: Column) -> Column:
         return _let(
