@@ -136,7 +136,8 @@ def _prior_weight(mean: float, spread: float, hosts: int, n: int, squares: int)
 def judge(docs: DataFrame, policy: HostPolicy = HostPolicy()) -> DataFrame:
     """Per document: id, source, the five numbers, ``base_failed``, ``host_rejected``, ``kept``.
 
-    A null text has no words and fails. Every row gets a row, repeated ones too.
+    A null text has no words and fails. Every row gets a row, repeated ones too; an empty table gives none.
+    Long texts are measured whole. Hosts of equal rates have equal verdicts.
     """
     measured = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

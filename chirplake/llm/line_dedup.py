@@ -200,8 +200,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
     A key found in at least two documents loses all its lines except in the document with the
     smallest id. A null or empty text is one empty line. Rows without an id lose nothing and take
-    nothing; rows of one id are one document, and a repeated row gives a repeated result. Other
-    columns stay as they are; the two new ones replace columns of those names.
+    nothing; rows of one id are one document, and a repeated row gives a repeated result. An empty
+    table gives an empty one, and a text or line of any length is taken whole. Other columns stay as they are;
+    the two new ones replace columns of those names.
     """
     tag, bits, done = (free_name(docs, name) for name in ("_tag", "_bits", "_done"))
     bitmaps = keep_bitmaps(docs, min_chars).select(

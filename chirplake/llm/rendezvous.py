@@ -46,7 +46,8 @@ def shard(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] | No
     ``size`` is the UTF-8 length of the text plus an overhead, a null text counts as empty.
     ``slot`` numbers the rows of a shard from 0 without gaps, by id and then by text; a null id
     comes first. With ``grown`` weights the shard under those comes along as ``grown_shard``, else
-    null. The shard rests on the id alone: equal texts of different ids may part.
+    null. The shard rests on the id alone: equal texts of different ids may part. Repeated rows have slots of
+    their own; an empty table gives no rows, and long texts are measured whole.
     """
     text = whole_text(F.col("text"))
     rows = docs.select(

@@ -188,7 +188,8 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -
     Links are fingerprints that differ in at most ``most`` bits. Texts without words have the
     fingerprint zero and are linked like others. A row without an id belongs to the group of an
     equal fingerprint that has one and else has no component; it links nothing itself. Rows of one
-    id are one document: they have its component. Repeated rows stay repeated.
+    id are one document: they have its component. Repeated rows stay repeated. An empty table gives no
+    rows; a text of any length gives one fingerprint of all its shingles.
     """
     coded = checkpoint(
         docs.select(

@@ -239,3 +239,87 @@ def tiktoken_of(ranks):
     return tiktoken.Encoding(
         "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
+
+
+def rendezvous(doc, shards):
+    """The shard with the highest bid for an id, among so many of equal weight."""
+
+    def bid(shard):
+        draw = (spark_hash((8, doc), (4, shard)) % 2**64) >> 11
+        return 1.0 / -math.log((draw + 0.5) / 2**53)
+
+    return max(range(shards), key=lambda shard: (bid(shard), -shard))
+
+
+def host_verdicts(rows, max_rate=0.8):
+    """Of (source, base_failed): whether each source is rejected."""
+    n, bad = Counter(), Counter()
+    for source, failed in rows:
+        n[source] += 1
+        bad[source] += failed
+    total = sum(n.values())
+    mean = sum(bad.values()) / total if total else 0.0
+    chance = mean * (1 - mean)
+    spread = sum(n[s] * (bad[s] / n[s] - mean) ** 2 for s in n)
+    freedom = total - sum(k * k for k in n.values()) / total if total else 0
+    between = (spread - (len(n) - 1) * chance) / freedom if freedom > 0 else 0
+    if len(n) < 2 or chance <= 0 or between <= 0:
+        return {s: mean > max_rate for s in n}
+    weight = max(chance / between - 1, 1.0)
+    return {s: (bad[s] + mean * weight) / (n[s] + weight) > max_rate for s in n}
+
+
+def url_scores(pages, rules, longest):
+    """Of (page_id, url, html) and {rule: verdict}: (page_id, score, verdict) by words and naive Bayes."""
+    run = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    counts = Counter()
+    for _, _, html in pages:
+        text = re.sub(r"(?s)<script.*?</script>|<style.*?</style>|<[^>]*>|&[#\w]+;", " ", html or "")
+        counts.update(w for w in re.findall(run, text.translate(_LOWER)) if len(w) <= longest)
+    total, least = sum(counts.values()) or 1, min(counts.values(), default=1)
+    unknown = -math.log(least / total) + 3.0
+
+    def cut(label):
+        best = [(0.0, None)]
+        for stop in range(1, len(label) + 1):
+            choice = (best[stop - 1][0] + unknown, stop - 1)
+            for start in range(max(0, stop - longest), stop):
+                n = counts.get(label[start:stop])
+                if n and best[start][0] - math.log(n / total) < choice[0]:
+                    choice = (best[start][0] - math.log(n / total), start)
+            best.append(choice)
+        parts, stop = [], len(label)
+        while stop:
+            parts.insert(0, label[best[stop][1] : stop])
+            stop = best[stop][1]
+        out = []
+        for part in parts:
+            if part not in counts and out and not out[-1][1]:
+                out[-1] = (out[-1][0] + part, False)
+            else:
+                out.append((part, part in counts))
+        return [part for part, _ in out]
+
+    named = {part for rule in rules for part in re.split("[./]", rule) if part}
+    found = []
+    for page, url, _ in pages:
+        host, path = url_parts(url)
+        words = [w for label in re.split("[.:@_-]", host) if label for w in cut(label)]
+        tokens = ["h:" + w for w in dict.fromkeys(words) if w not in named]
+        tokens += ["p:" + w for w in re.findall(run, path.translate(_LOWER)) if w not in named]
+        buckets = [xxhash.xxh64_intdigest(token, 0) % 65536 for token in tokens]
+        found.append((page, url_rule(host, path)[1], buckets))
+    sides = {side: Counter(b for _, v, bs in found if v == side for b in bs) for side in ("block", "allow")}
+    rows = Counter(v for _, v, _ in found)
+    sums = {side: sum(c.values()) + 65536 for side, c in sides.items()}
+
+    def odds(b):
+        block, allow = ((sides[side][b] + 1) / sums[side] for side in ("block", "allow"))
+        return math.log(block) - math.log(allow)
+
+    prior = math.log((rows["block"] + 1) / (rows["allow"] + 1))
+    out = []
+    for page, verdict, buckets in found:
+        score = prior + math.fsum(map(odds, buckets))
+        out.append((page, score, verdict or ("block" if score > 0 else "allow")))
+    return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chirplake.llm import queries as q
+from chirplake.llm import url_filter
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, _tag string, part int"
 LONG = " ".join(f"w{i % 977}" for i in range(30_000))
@@ -126,6 +127,17 @@ def test_op2(spark, data):
     same([(*row[:4], row[4] if row[3] else None) for row in found], wanted)
 
 
+def test_op2_scores_and_verdicts(spark, data):
+    pages = [tuple(r) for r in spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url", "html").collect()]
+    rules = {rule.rule: rule.verdict for rule in q.URL_RULES}
+    wanted = sorted(brute.url_scores(pages, rules, url_filter.LONGEST_WORD), key=repr)
+    found = sorted(result(spark, "op2_url_filter", data, "page_id", "score", "verdict"), key=repr)
+    wanted.sort(key=lambda r: (r[0] or -1, r[1]))
+    found.sort(key=lambda r: (r[0] or -1, r[1]))
+    assert [(r[0], r[2]) for r in found if abs(r[1]) > 1e-9] == [(r[0], r[2]) for r in wanted if abs(r[1]) > 1e-9]
+    assert [r[1] for r in found] == pytest.approx([r[1] for r in wanted], abs=1e-9)
+
+
 def test_op3(spark, data):
     tokenizer = Tokenizer.from_file(q.tokenizer_file(q.BYTE_TOKENIZER))
     start, wanted = 0, []
@@ -146,6 +158,16 @@ def test_op4(spark, data):
     assert all(row[3] for row in found)
 
 
+def test_op4_document_by_document(spark, data):
+    pieces = sentencepiece.SentencePieceProcessor(model_file=q.tokenizer_file(q.PIECE_MODEL))
+    start, wanted = 0, []
+    for number, (_, text) in enumerate(texts(spark, data)):
+        n_tokens = len(pieces.encode(text or "")) + 1
+        wanted.append((number, start, n_tokens, True))
+        start += n_tokens
+    assert sorted(result(spark, "op4_token_counts", data)) == wanted
+
+
 def test_op5(spark, data):
     wanted = [(d, f"{code:016x}", c) for d, code, c in brute.near_groups(texts(spark, data))]
     same(result(spark, "op5_simhash", data), wanted)
@@ -160,6 +182,8 @@ def test_op6(spark, data):
         back = pieces.decode(ids)
         wanted.append((doc, len(ids), brute.sha(back), back == (text or "")))
     same(found, wanted)
+    hashes = result(spark, "op6_sentencepiece", data, "doc_id", "ids_xxhash64")
+    same(hashes, [(doc, brute.spark_hash(*[(4, i) for i in pieces.encode(text or "")])) for doc, text in texts(spark, data)])
 
 
 def test_op7(spark, data):
@@ -176,6 +200,24 @@ def test_op8(spark, data):
     assert all(kept == (not failed and not rejected) for failed, rejected, kept in flags)
 
 
+def test_op8_hosts(spark, data):
+    docs = [tuple(r) for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "source").collect()]
+    failed = [brute.base_metrics(text)[-1] for _, text, _ in docs]
+    rejected = brute.host_verdicts([(source, bad) for (_, _, source), bad in zip(docs, failed, strict=True)])
+    wanted = [
+        (doc, source, rejected[source], not bad and not rejected[source])
+        for (doc, _, source), bad in zip(docs, failed, strict=True)
+    ]
+    same(result(spark, "op8_host_rules", data, "doc_id", "source", "host_rejected", "kept"), wanted)
+
+
+def test_op9_shards(spark, data):
+    wanted = [
+        (doc, brute.rendezvous(doc, q.SHARDS), brute.rendezvous(doc, q.SHARDS + 1)) for doc, _ in texts(spark, data)
+    ]
+    same(result(spark, "op9_rendezvous", data, "doc_id", "shard", "grown_shard"), wanted)
+
+
 def test_op9(spark, data):
     found = result(spark, "op9_rendezvous", data)
     raw = [(doc, (text or "").encode()) for doc, text in texts(spark, data)]

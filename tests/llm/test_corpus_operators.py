@@ -6,6 +6,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -365,7 +366,7 @@ def test_fold_and_heap_agree_where_merges_overlap(spark):
 
 def test_words_of_every_code_point():
     library = brute.rank_encoding(q.tokenizer_file(q.RANKS))
-    lookup = rank_fold._Lookup({}, rank_fold.read_ranks(q.tokenizer_file(q.RANKS)))
+    lookup = rank_fold._Lookup(remembered([], []), rank_fold.read_ranks(q.tokenizer_file(q.RANKS)))
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3000 or c % 7 == 0 or 0x10000 < c < 0x20000)]
     for c in points:
         text = f"x{chr(c)}1{chr(c)} {chr(c)}\n{chr(c)}{chr(c)}a {chr(c)} b"
@@ -375,6 +376,20 @@ def test_words_of_every_code_point():
     assert rank_fold.words_of_chunk("don't") == ["don", "'t"]
 
 
+def remembered(words, ids):
+    return rank_fold.Remembered(*rank_fold.flat_words(pa.array(words, pa.string()), pa.array(ids, pa.list_(pa.int32()))))
+
+
+def test_remembered_words_are_found_by_hash_and_content():
+    words = [f"w{i}é" for i in range(1_000)]
+    table = remembered(words, [[i, i + 1] for i in range(1_000)])
+    assert all(np.frombuffer(table.get(w.encode()), "<u4").tolist() == [i, i + 1] for i, w in enumerate(words))
+    assert table.get(b"w1") is None and table.get(b"") is None
+    # Another word of the same hash is not taken for it.
+    table.words = table.words.replace("w7é".encode(), "v7é".encode())
+    assert table.get("w7é".encode()) is None
+
+
 def test_a_word_of_a_million_characters():
     ranks = rank_fold.read_ranks(q.tokenizer_file(q.RANKS))
     word = "".join(RNG.choice("abcdefghij") for _ in range(1_000_000))
@@ -423,3 +438,27 @@ def test_few_candidates_however_many_windows(spark, sf_dir, monkeypatch, joined)
     assert sorted((r["doc_id"], r["n_words"], len(r["items"])) for r in hits) == sorted((w[0], w[1], w[3]) for w in wanted)
     if joined == "shuffled":
         assert "SortMergeJoin [key#" in plan
+
+
+def test_flat_files_are_bounded_and_in_the_order_of_their_numbers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_scan, "FILE_BYTES", 200)
+    docs = spark.range(3_000, numPartitions=2).select(
+        F.concat(F.lit("some words "), F.repeat(F.lit("x "), (F.col("id") % 7).cast("int"))).alias("text")
+    )
+    path, model = f"{tmp_path}/flat", q.tokenizer_file(q.PIECE_MODEL)
+    token_scan.write_flat(docs, path, model)
+    files = list((tmp_path / "flat").glob("part-*"))
+    # More files of one task than three digits hold: their names alone do not give the order.
+    assert max(int(f.name.partition("-c")[2][:-4]) for f in files if "-c" in f.name) >= 100
+    assert max(f.stat().st_size for f in files) < 1_000
+    found = sorted(map(tuple, token_scan.count_tokens(spark, path).select("document", "n_tokens").collect()))
+    pieces = sentencepiece.SentencePieceProcessor(model_file=model)
+    assert [n for _, n in found] == [len(pieces.encode(r["text"])) + 1 for r in docs.collect()]
+
+
+@pytest.mark.parametrize("names", [["part-2.bin", "part-10.bin", "part-100000.bin"], ["a.bin", "b.bin", "c.bin"]])
+def test_stream_of_files_by_number_and_name(spark, tmp_path, names):
+    for n, name in enumerate(names, 3):
+        (tmp_path / name).write_bytes(np.array([9] * n + [2], "<u2").tobytes())
+    found = pairs(token_scan.count_tokens(spark, str(tmp_path)), "document", "n_tokens")
+    assert found == [(0, 4), (1, 5), (2, 6)]
