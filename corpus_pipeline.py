@@ -11,6 +11,7 @@ from chirplake.llm import decontaminate, host_rules, line_dedup, piece_fst, simh
 from chirplake.llm.common import prepare, table
 from chirplake.llm.queries import PIECE_MODEL, tokenizer_file
 from chirplake.settings import new_run_folder
+from chirplake.sources.folders import delete_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +64,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written as Parquet and read again by the next.
+
+    What a stage has read is deleted once its own result is written.
+    """
+    docs, read = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         path = new_run_folder(spark, f"pipeline-{number}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if read is not None:
+            delete_folder(spark, read)
+        docs, read = spark.read.parquet(path), path
     return docs
