@@ -265,6 +265,26 @@ def heavy_mentions(spark, sf_dir):
     )
 
 
+@query
+def length_quantile_bounds(spark, sf_dir):
+    """Quantiles of the bytes of all posts by a sketch, and whether their true ranks are near."""
+    frame = posts(spark, sf_dir).select(F.octet_length("text").alias("size")).where("size is not null")
+    shares = (0.05, 0.25, 0.5, 0.75, 0.95)
+    given = skew.length_quantiles(frame, F.col("size"), shares).collect()
+    ranks = [
+        F.struct(
+            F.lit(row["share"]).alias("share"),
+            (F.count_if(F.col("size") < row["quantile"]) / F.count("*")).alias("below"),
+            (F.count_if(F.col("size") <= row["quantile"]) / F.count("*")).alias("upto"),
+        )
+        for row in given
+    ]
+    each = frame.agg(F.array(*ranks).alias("ranks")).select(F.inline("ranks"))
+    off = F.lit(skew.QUANTILE_ERROR)
+    near = (F.col("below") <= F.col("share") + off) & (F.col("upto") >= F.col("share") - off)
+    return each.select("share", near.alias("is_near"))
+
+
 @query
 def salted_join_counts(spark, sf_dir):
     """Gold with the number of rows of its mention, heavy mentions spread over many tasks."""
@@ -404,6 +424,17 @@ def gold_memo_scored(spark, sf_dir):
     )
 
 
+@query
+def gold_memo_stream(spark, sf_dir):
+    """Gold batch by batch from the stream of silver, texts scored once over all batches."""
+    run = streamed_posts(spark, sf_dir)
+    run.silver  # noqa: B018
+    memo = f"{new_run_folder(spark, 'memo')}/lexicon"
+    scorer = memo_scorer(memo, model_scorer(load_lexicon_model))
+    drain(stages.gold_batches(spark, run.layout, Settings(files_per_trigger=4), scorer))
+    return stages.read_gold_batches(spark, run.layout)
+
+
 @query
 def gold_cost_balanced(spark, sf_dir):
     """Gold by the Python model, silver first cut into partitions of equally many text bytes."""

@@ -311,7 +311,10 @@ def oracle_sql() -> dict[str, str]:
           FROM silver GROUP BY mention HAVING count(*) * 100 >= (SELECT count(*) FROM silver)""",
         "salted_join_counts": f"""{gold} SELECT "timestamp", mention, predicted_sentiment,
           count(*) OVER (PARTITION BY mention) AS total FROM gold""",
+        "length_quantile_bounds": """SELECT CAST(share AS DOUBLE) AS share, TRUE AS is_near
+          FROM (VALUES (0.05), (0.25), (0.5), (0.75), (0.95)) AS t(share)""",
         "gold_memo_scored": gold_rows,
+        "gold_memo_stream": gold_rows,
         "gold_cost_balanced": gold_rows,
         "nested_landing_ingest": raw_rows,
         "chained_quarantine": rf"""{posts}

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from chirplake.functions.scoring import Scorer, lexicon_scorer
 from chirplake.operators.application import application_partials, fold_partials, merge_partials
@@ -82,6 +82,39 @@ def gold_stream(
     return _append_layer(enforce(gold, GOLD), layout, "gold")
 
 
+def gold_batches(
+    spark: SparkSession, layout: Layout, settings: Settings, scorer: Scorer
+) -> StreamingQuery:
+    """Silver to gold by a scorer that runs jobs of its own, such as one with a memo of scores.
+
+    Each batch is scored as a table and kept in a folder of its own number, so a batch that is run
+    twice replaces itself; what a memo has learnt from it the first time it looks up the second.
+    """
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        gold = enforce(to_gold(batch, scorer, settings.scoring_partitions), GOLD)
+        gold.write.mode("overwrite").parquet(f"{layout.table('gold_batches')}/batch_id={batch_id}")
+
+    return (
+        stream_table(spark, layout.table("silver"), SILVER, settings)
+        .writeStream.foreachBatch(keep)
+        .option("checkpointLocation", layout.checkpoint("gold_batches"))
+        .queryName("gold_batches_stream")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_gold_batches(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The gold rows of the batches that are committed."""
+    newest = newest_batch(spark, layout.checkpoint("gold_batches"))
+    if newest < 0:
+        return spark.createDataFrame([], GOLD)
+    schema = StructType([*GOLD.fields, StructField("batch_id", LongType())])
+    stored = spark.read.schema(schema).parquet(layout.table("gold_batches"))
+    return stored.filter(F.col("batch_id") <= newest).drop("batch_id")
+
+
 def application_stream(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
     """Keep what each batch of gold adds to the application table.
 

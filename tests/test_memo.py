@@ -5,8 +5,13 @@ import pytest
 from helpers import assert_same_rows, rows
 from pyspark.sql import functions as F
 
+from chirplake import schemas
 from chirplake.functions.memo import memo_scorer
 from chirplake.functions.scoring import lexicon_scorer, load_lexicon_model, model_scorer
+from chirplake.operators.layers import to_gold
+from chirplake.settings import Settings
+from chirplake.streaming import stages
+from chirplake.streaming.stages import Layout
 
 
 @pytest.fixture()
@@ -72,3 +77,23 @@ def test_no_rows(spark, tmp_path, counting):
     empty = frame(spark, ["a"]).where(F.lit(False))
     assert memo_scorer(str(tmp_path / "memo"), scorer)(empty, "text").collect() == []
     assert rows(memo_scorer(str(tmp_path / "memo"), scorer)(empty, "text")) == [] and calls() == []
+
+
+def test_a_memo_serves_the_batches_of_a_stream(spark, tmp_path, counting):
+    scorer, calls = counting
+    layout, settings = Layout(str(tmp_path / "lake")), Settings(files_per_trigger=1)
+    memo = memo_scorer(str(tmp_path / "memo"), scorer)
+
+    def arrive(*texts):
+        rows_ = [(None, "@m", text, "positive") for text in texts]
+        table = spark.createDataFrame(rows_, schemas.SILVER)
+        table.coalesce(1).write.mode("append").parquet(layout.table("silver"))
+        stages.drain(stages.gold_batches(spark, layout, settings, memo))
+
+    assert stages.read_gold_batches(spark, layout).collect() == []
+    arrive("love it", "hate it", "love it")
+    arrive("love it", "so so")
+    arrive("hate it", "love it")
+    gold = stages.read_gold_batches(spark, layout)
+    assert_same_rows(gold, to_gold(spark.read.schema(schemas.SILVER).parquet(layout.table("silver"))))
+    assert calls() == ["hate it", "love it", "so so"]
