@@ -39,7 +39,7 @@ from chirplake.llm.encoders import ByteEncoder, is_letters, trailing_marks
 # Words folded once and sent to the tasks, at most: some 40 bytes each.
 REMEMBERED = 200_000
 # Chunks a task keeps in mind: between two reports of its counts, and with their ids.
-COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 100_000, 60_000, 48
+COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 100_000, 100_000, 48
 # The fold takes time by the square of a word's bytes; longer words are merged by a heap.
 FOLD_BYTES = 256
 BUCKETS = 1 << 16
