@@ -42,8 +42,8 @@ from pyspark.sql.functions import arrow_udf
 from chirplake.llm.common import whole_text, worker_cache
 
 SPACE = "▁"
-MEMORY_CHUNKS = 1_200_000
-MEMORY_PAIRS = 500_000
+MEMORY_CHUNKS = 800_000
+MEMORY_PAIRS = 300_000
 LONGEST_REMEMBERED = 48
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _INFINITE = float("inf")
