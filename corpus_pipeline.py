@@ -14,6 +14,10 @@ from chirplake.settings import new_run_folder
 from chirplake.sources.folders import delete_folder
 
 
+# Fewer than the operator alone would remember: the workers and the JVM have served four stages before.
+REMEMBERED_CHUNKS = 300_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, or come from a host that does, go."""
     prepare(spark)
@@ -45,7 +49,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Ids of every document, with what they decode to in place of the text."""
     prepare(spark)
     model = tokenizer_file(PIECE_MODEL)
-    encoded = piece_fst.encode(docs.select("doc_id", "text"), model)
+    encoded = piece_fst.encode(docs.select("doc_id", "text"), model, memory=REMEMBERED_CHUNKS)
     return piece_fst.decode(encoded, model).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text")
     )
