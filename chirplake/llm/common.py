@@ -18,6 +18,9 @@ WHITE = " \t\n\x0b\x0c\r"
 ARROW_BATCH_ROWS = "1000"
 ARROW_BATCH_BYTES = "16m"
 
+# Files of a checkpoint of small rows, at most; a cluster of more cores writes one for each core.
+FEW_FILES = 40
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on; every query calls it first."""
@@ -44,6 +47,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def checkpoint_small(df: DataFrame) -> DataFrame:
+    """``checkpoint`` in few files, for rows that are small beside the input: counts, hosts, links.
+
+    Partitions that share a file are still read one after the other. Each new file costs a request of a store
+    and, on a local disk, a process of the executor's that sets its mode.
+    """
+    return checkpoint(df.coalesce(max(FEW_FILES, df.sparkSession.sparkContext.defaultParallelism)))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """A column name the frame does not have yet."""
     taken = {name.lower() for name in df.columns}
