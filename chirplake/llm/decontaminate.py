@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chirplake.llm.common import checkpoint, free_name, lower_ascii, text_tag, whole_text
+from chirplake.llm.common import checkpoint_small, free_name, lower_ascii, text_tag, whole_text
 
 WINDOW = 10
 # Digits, letters after lower-casing, and everything beyond ASCII.
@@ -141,7 +141,7 @@ def find_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFr
     with different texts are told apart, equal rows are one document. A null text has no words. Without
     documents there are no rows, without items no hits. Long texts are searched whole.
     """
-    windows = checkpoint(benchmark_windows(items, window))
+    windows = checkpoint_small(benchmark_windows(items, window))
     n_blocks = -(-windows.count() // (MAX_BITS // BITS_LEAST))
     block = F.pmod(F.shiftright("hash", 16), F.lit(max(n_blocks, 1)))
     windows = windows.withColumn("block", block)

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from chirplake.llm import url_filter
+from chirplake.llm import decontaminate, url_filter
 from chirplake.llm import queries as q
 from chirplake.llm.common import FEW_FILES, checkpoint_small
 
@@ -31,12 +31,27 @@ def stored(spark):
         spark.conf.set(key, value)
 
 
+def documents(spark):
+    rows = [(i, f"host{i % 7}", " ".join(f"word{i * j % 31}" for j in range(1, 15))) for i in range(60)]
+    return spark.createDataFrame(rows, "doc_id long, source string, text string").coalesce(3)
+
+
 def test_rows_stay(spark, stored):
     kept = checkpoint_small(spark.range(500).repartition(PARTITIONS, "id"))
     assert sorted(row.id for row in kept.collect()) == list(range(500))
     assert max(stored()) <= FEW_FILES
 
 
+def test_windows(spark, stored):
+    items = spark.createDataFrame(
+        [(f"i{i}", " ".join(f"word{i * j % 31}" for j in range(1, 13))) for i in range(40)] + [("none", None)],
+        "item_id string, text string",
+    )
+    found = decontaminate.find_hits(documents(spark), items).where("size(hits) > 0")
+    assert found.count() >= 40
+    assert max(stored()) <= FEW_FILES
+
+
 def test_pages(spark, stored):
     rows = [(i, f"http://www{i % 9}.city{i}.org/en/{i}", f"<p>www city word{i}</p>") for i in range(200)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(PARTITIONS)
