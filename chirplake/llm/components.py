@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chirplake.llm.common import checkpoint
+from chirplake.llm.common import checkpoint_small
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,12 +20,12 @@ def components(links: DataFrame) -> DataFrame:
     logarithm of the longest chain.
     """
     links = links.where(F.col("a") != F.col("b"))
-    stars = checkpoint(
+    stars = checkpoint_small(
         links.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root")).distinct()
     )
     state = _state(stars)
     while state[0]:
-        stars = checkpoint(_small_star(_large_star(stars)))
+        stars = checkpoint_small(_small_star(_large_star(stars)))
         before, state = state, _state(stars)
         if state == before:
             break
@@ -47,14 +47,14 @@ def _large_star(stars: DataFrame) -> DataFrame:
     )
     least = both.groupBy("node").agg(F.min("root").alias("low"))
     # Stored, so that the join sees two plain shuffles and a hot node can be split.
-    least = checkpoint(least.select("node", F.least("node", "low").alias("low")))
+    least = checkpoint_small(least.select("node", F.least("node", "low").alias("low")))
     larger = both.where(F.col("root") > F.col("node"))
     return larger.join(least, "node").select(F.col("root").alias("node"), F.col("low").alias("root")).distinct()
 
 
 def _small_star(stars: DataFrame) -> DataFrame:
-    stars = checkpoint(stars)
-    least = checkpoint(stars.groupBy("node").agg(F.min("root").alias("low")))
+    stars = checkpoint_small(stars)
+    least = checkpoint_small(stars.groupBy("node").agg(F.min("root").alias("low")))
     moved = stars.join(least, "node").where(F.col("root") != F.col("low"))
     return (
         moved.select(F.col("root").alias("node"), F.col("low").alias("root"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType, StructField, StructType
 
-from chirplake.llm.common import checkpoint, free_name
+from chirplake.llm.common import checkpoint, checkpoint_small, free_name
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -99,7 +99,7 @@ def host_verdicts(flags: DataFrame, policy: HostPolicy = HostPolicy()) -> DataFr
     hosts = flags.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")
     )
-    hosts = checkpoint(hosts.withColumn("rate", F.col("failed") / F.col("n")))
+    hosts = checkpoint_small(hosts.withColumn("rate", F.col("failed") / F.col("n")))
     sums = hosts.agg(
         F.count(F.lit(1)).alias("hosts"),
         F.sum("n").alias("n"),

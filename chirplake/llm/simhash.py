@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from chirplake.llm.common import checkpoint, free_name, whole_text
+from chirplake.llm.common import checkpoint, checkpoint_small, free_name, whole_text
 from chirplake.llm.components import components
 from chirplake.llm.gray_index import gray_code, group_cells
 
@@ -155,7 +155,7 @@ def near_links(codes: DataFrame, most: int = MAX_BITS, slice_rows: int = SLICE_R
         .where(F.col("n") > slice_rows)
         .select("cell", F.ceil(F.col("n") / slice_rows).cast("int").alias("slices"))
     )
-    large = checkpoint(large)
+    large = checkpoint_small(large)
     # Few cells are large, unless the corpus is; then the join is a shuffle.
     if large.limit(LARGE_CELLS_SENT + 1).count() <= LARGE_CELLS_SENT:
         large = F.broadcast(large)
@@ -197,7 +197,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -
             fingerprint_column(F.col("text"), shingle).alias("code"),
         )
     )
-    codes = checkpoint(
+    codes = checkpoint_small(
         coded.groupBy("code").agg(F.min("doc_id").alias("id")).where(F.col("id").isNotNull())
     )
     links = near_links(codes, most)
@@ -212,7 +212,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -
     named = codes.withColumnRenamed("id", "b")
     same_id = coded.join(doubled, "doc_id").join(named, "code").select(F.col("doc_id").alias("a"), "b")
     roots = components(links.unionByName(same_id))
-    grouped = checkpoint(
+    grouped = checkpoint_small(
         codes.join(roots, codes["id"] == roots["node"], "left").select(
             "code", F.coalesce("root", "id").alias("component")
         )
