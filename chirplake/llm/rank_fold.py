@@ -6,7 +6,8 @@ changed, until no pair has a rank. The ranks are one literal: an array of small
 hash, from a piece (its bytes as hexadecimal digits) to its rank.
 
 The words of all documents are counted, and those that come most often are folded once for the
-whole corpus and remembered by the tasks. A document takes the ids of remembered words from there, its
+whole corpus and remembered by the tasks. Texts are cut and looked up by the batch, each different part of
+a batch once. A document takes the ids of remembered words from there, its
 other words go through the same fold within the row, and their ids are filled in. No text and no id
 is shuffled. Decoding joins the pieces' bytes.
 """
@@ -14,6 +15,7 @@ is shuffled. Decoding joins the pieces' bytes.
 from __future__ import annotations
 
 import base64
+import contextlib
 import heapq
 import json
 import re
@@ -27,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +37,10 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType
 
 from chirplake.llm.common import checkpoint, free_name, whole_text, worker_cache
-from chirplake.llm.encoders import ByteEncoder, is_letters, trailing_marks
+from chirplake.llm.encoders import _AFTER_LETTERS, ByteEncoder, is_letters, trailing_marks
 
 # Words folded once and sent to the tasks, at most: some 40 bytes each.
-REMEMBERED = 200_000
+REMEMBERED = 1_000_000
 # Chunks a task keeps in mind: between two reports of its counts, and with their ids.
 COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 100_000, 100_000, 48
 # The fold takes time by the square of a word's bytes; longer words are merged by a heap.
@@ -185,6 +188,15 @@ _NEW_DIGITS = (
 )
 
 
+# The bytes of ASCII by kind, and the same as expressions for whole parts.
+_WHITE, _MARKS, _LETTER = np.zeros((3, 256), bool)
+_WHITE[[*range(9, 14), *range(28, 33)]] = True
+_MARKS[list(_AFTER_LETTERS.encode())] = True
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_WIDE = "".join(map(chr, _SPACES))
+_ONE_WORD = rf"\A( ?[A-Za-zÀ-ÖØ-öø-ƺ]+|[{re.escape(_AFTER_LETTERS)}]+|\n)\z"
+
+
 class _Signs(dict):
     """For each character one of ASCII that the pattern treats alike: a letter, digit, space or other sign."""
 
@@ -219,35 +231,93 @@ def words_of_chunk(chunk: str) -> list[str]:
     return [chunk[m.start() : m.end()] for m in _WORDS.finditer(chunk.translate(_SIGNS))]
 
 
+def cut_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Parts of texts without null that no word reaches across, and the number of parts before each text.
+
+    Cuts lie before a lone space, around a lone line end, and between a letter and one of ``_AFTER_LETTERS``.
+    Beside signs beyond ASCII no space counts as alone if the text holds wide white space.
+    """
+    size = len(texts)
+    ends = np.frombuffer(texts.buffers()[1], np.int32, size + 1, 4 * texts.offset)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = (ends - ends[0]).astype(np.int64)
+    white, high = _WHITE[raw], raw >= 0x80
+    if high.any():
+        wide = pc.match_substring_regex(texts, f"[{_WIDE}]").to_numpy(zero_copy_only=False)
+        if wide.any():
+            white |= high & np.repeat(wide, np.diff(ends))
+    begins, stops = np.zeros(len(raw) + 1, bool), np.zeros(len(raw) + 1, bool)
+    stops[ends] = True
+    at = np.flatnonzero((raw == 32) | (raw == 10))
+    at = at[(at > 0) & (at + 1 < len(raw))]
+    at = at[~(white[at - 1] | white[at + 1] | stops[at] | stops[at + 1])]
+    begins[at] = True
+    begins[at[raw[at] == 10] + 1] = True
+    at = np.flatnonzero(_MARKS[raw])
+    at = at[at > 0]
+    before = raw[at - 1]
+    letter = _LETTER[before]
+    # The letters of Latin-1 from its second half on begin with this byte.
+    letter |= (raw[at - 2] == 0xC3) & (at > 1) & (before >= 0x80) & (before != 0x97) & (before != 0xB7)
+    begins[at[letter]] = True
+    begins |= stops
+    begins[-1] = False
+    starts = np.flatnonzero(begins)
+    offsets = np.append(starts, len(raw)).astype(np.int32)
+    parts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(raw)))
+    return parts, np.searchsorted(starts, ends)
+
+
+def _single(parts: pa.Array) -> np.ndarray:
+    """Which parts are one word for certain: letters with a space before or not, marks, a line end."""
+    return pc.match_substring_regex(parts, _ONE_WORD).to_numpy(zero_copy_only=False)
+
+
+def _utf8_pieces(path: str) -> tuple[pa.Array, np.ndarray]:
+    """The pieces that can be words, and their ranks."""
+    kept = worker_cache("rank_words")
+    if path not in kept:
+        words = []
+        for piece, rank in _ranks(path).items():
+            with contextlib.suppress(UnicodeDecodeError):
+                words.append((piece.decode(), rank))
+        kept[path] = pa.array([word for word, _ in words]), np.array([rank for _, rank in words], np.uint32)
+    return kept[path]
+
+
 def _count_words(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = _ranks(path)
-        chunks: Counter[str] = Counter()
+        counted, held = [], 0
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                chunks.update(ByteEncoder.chunks(text))
-                if len(chunks) > COUNTED_CHUNKS:
-                    yield report(chunks, ranks)
-                    chunks.clear()
-        yield report(chunks, ranks)
-
-    def report(chunks: Counter[str], ranks: dict[bytes, int]) -> pa.RecordBatch:
-        words: Counter[str] = Counter()
-        for chunk, times in chunks.items():
+            if batch.num_rows:
+                parts = pc.value_counts(cut_texts(batch.column("text"))[0])
+                counted.append(pa.RecordBatch.from_struct_array(parts))
+                held += len(parts)
+            if held > COUNTED_CHUNKS:
+                yield report(counted)
+                counted, held = [], 0
+        if counted:
+            yield report(counted)
+
+    def report(counted: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(counted).combine_chunks()
+        single = _single(table["values"].combine_chunks())
+        others: Counter[str] = Counter()
+        split = table.filter(pa.array(~single))
+        for chunk, times in zip(split["values"].to_pylist(), split["counts"].to_pylist(), strict=True):
             for word in words_of_chunk(chunk):
-                words[word] += times
-        chosen = [
-            (word, times)
-            for word, times in words.items()
-            if times > 1 and len(word) <= LONGEST_CHUNK and word.encode() not in ranks
-        ]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([word for word, _ in chosen], pa.string()),
-                pa.array([times for _, times in chosen], pa.int64()),
-            ],
-            names=["word", "times"],
-        )
+                others[word] += times
+        listed = pa.table({"values": pa.array(others, pa.string()), "counts": pa.array(others.values(), pa.int64())})
+        words = pa.concat_tables([table.filter(pa.array(single)), listed])
+        words = words.group_by("values").aggregate([("counts", "sum")])
+        chosen = words.filter(
+            (pc.field("counts_sum") > 1)
+            & (pc.utf8_length(pc.field("values")) <= LONGEST_CHUNK)
+            & ~pc.field("values").isin(_utf8_pieces(path)[0])
+        ).combine_chunks()
+        columns = [pa.array(chosen[name].to_pylist(), kind) if not len(chosen) else chosen[name].combine_chunks()
+                   for name, kind in (("values", pa.string()), ("counts_sum", pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["word", "times"])
 
     return count
 
@@ -294,18 +364,18 @@ class Remembered:
 def flat_words(words: pa.Array, ids: pa.Array) -> tuple[array, array, bytes, array, bytes]:
     """Words and the ids of each as the arrays of ``Remembered``, plain values that any process can read."""
     hashes = np.array([xxhash.xxh64_intdigest(word) for word in words.to_pylist()], np.uint64)
-    order = np.argsort(hashes, kind="stable")
-    words, ids = words.take(pa.array(order)), ids.take(pa.array(order))
-    lists = [row.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() for row in ids]
-    sorted_words = [word.encode() for word in words.to_pylist()]
-    return array("Q", hashes[order].tobytes()), *_flat(sorted_words), *_flat(lists)
+    order = pa.array(np.argsort(hashes, kind="stable"))
+    words, ids = words.take(order).cast(pa.binary()), ids.take(order)
+    numbers = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
+    flat_hashes = array("Q", hashes[order.to_numpy()].tobytes())
+    return flat_hashes, _ends(pc.binary_length(words)), b"".join(words.to_pylist()), _ends(pc.list_value_length(ids), 4), numbers
 
 
-def _flat(parts: list[bytes]) -> tuple[array, bytes]:
-    """Where each part begins and the last one ends, and all of them joined."""
-    ends = np.zeros(len(parts) + 1, np.uint64)
-    np.cumsum([len(part) for part in parts], out=ends[1:])
-    return array("Q", ends.tobytes()), b"".join(parts)
+def _ends(lengths: pa.Array, width: int = 1) -> array:
+    """Where each part begins and the last one ends."""
+    ends = np.zeros(len(lengths) + 1, np.uint64)
+    np.cumsum(lengths.to_numpy(zero_copy_only=False) * width, out=ends[1:])
+    return array("Q", ends.tobytes())
 
 
 class _Lookup(dict):
@@ -354,6 +424,93 @@ class _Lookup(dict):
         return b"".join(found), at, words
 
 
+def _binary(lengths: np.ndarray, values: bytes | np.ndarray, kind: pa.DataType) -> pa.Array:
+    ends = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=ends[1:])
+    return pa.Array.from_buffers(kind, len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(values)])
+
+
+def _binary_of(ends: array, values: bytes) -> pa.Array:
+    return _binary(np.diff(np.frombuffer(ends, np.uint64).astype(np.int64)), values, pa.binary())
+
+
+class _Batches:
+    """``_Lookup.known_and_open`` for the texts of a batch at once: each different part is looked up once."""
+
+    def __init__(self, remembered: Remembered, path: str) -> None:
+        self.lookup = _Lookup(remembered, _ranks(path))
+        self.pieces, ranks = _utf8_pieces(path)
+        self.hashes = np.frombuffer(remembered.hashes, np.uint64)
+        self.words = _binary_of(remembered.word_ends, remembered.words)
+        of_pieces = _binary(np.full(len(ranks), 4), ranks.astype("<u4"), pa.binary())
+        self.ids = pa.concat_arrays([of_pieces, _binary_of(remembered.id_ends, remembered.ids)])
+
+    def known(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The ids of words, null where they are to be folded, and the places of words to look up one by one."""
+        place = pc.index_in(words, self.pieces)
+        missing = place.is_null().to_numpy(zero_copy_only=False)
+        place = place.fill_null(0).to_numpy().astype(np.int64)
+        rest = np.flatnonzero(missing)
+        raw = words.take(pa.array(rest)).cast(pa.binary())
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, raw.to_pylist()), np.uint64, len(raw))
+        at = np.searchsorted(self.hashes, hashes)
+        found = at < len(self.hashes)
+        found[found] = self.hashes[at[found]] == hashes[found]
+        at = at[found]
+        same = pc.equal(self.words.take(pa.array(at)), raw.filter(pa.array(found))).to_numpy(zero_copy_only=False)
+        single = pc.binary_length(raw).to_numpy(zero_copy_only=False) > FOLD_BYTES
+        single[np.flatnonzero(found)[~same]] = True
+        place[rest[found]] = at + len(self.pieces)
+        missing[rest[found]] = False
+        return self.ids.take(pa.array(place, mask=missing)), rest[single]
+
+    def known_and_open(self, texts: pa.Array) -> pa.StructArray:
+        parts, before = cut_texts(texts)
+        coded = parts.dictionary_encode()
+        different, places = coded.dictionary, coded.indices.to_numpy()
+        single = _single(different)
+        alone = np.flatnonzero(single)
+        words = different.take(pa.array(alone))
+        known, apart = self.known(words)
+        # A unit is some ids or one open word; a part that is no word for certain may be several units.
+        first, counts = np.zeros(len(different), np.int64), np.ones(len(different), np.int64)
+        first[alone] = np.arange(len(alone))
+        more: list[bytes | str] = []
+        looked_up = np.concatenate((np.flatnonzero(~single), alone[apart]))
+        for place, part in zip(looked_up.tolist(), different.take(pa.array(looked_up)).to_pylist(), strict=True):
+            entry = self.lookup[part]
+            entry = entry if type(entry) is tuple else (entry,)
+            first[place], counts[place] = len(alone) + len(more), len(entry)
+            more += entry
+        known = pa.concat_arrays([known, pa.array([x if type(x) is bytes else None for x in more], pa.binary())])
+        words = pa.concat_arrays([words, pa.array([x if type(x) is str else None for x in more], pa.string())])
+        is_open = known.is_null().to_numpy(zero_copy_only=False)
+        known = known.fill_null(b"")
+        taken = first[places]
+        if (counts != 1).any():
+            times = counts[places]
+            after = np.cumsum(times)
+            taken = np.repeat(taken - (after - times), times) + np.arange(int(times.sum()))
+            before = np.concatenate(([0], after))[before]
+        joined = known.take(pa.array(taken))
+        at = np.zeros(len(taken) + 1, np.int64)
+        np.cumsum(pc.binary_length(joined).to_numpy(zero_copy_only=False), out=at[1:])
+        opened = np.flatnonzero(is_open[taken])
+        opens = np.searchsorted(opened, before)
+        owner = np.repeat(at[before[:-1]], np.diff(opens))
+        values = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(joined)], pa.int32()), joined), b"")
+        words = words.take(pa.array(taken[opened]))
+        offsets = pa.array(opens, pa.int32())
+        return pa.StructArray.from_arrays(
+            [
+                _binary(np.diff(at[before]), values.buffers()[2] or b"", pa.binary()),
+                pa.ListArray.from_arrays(offsets, pa.array(at[opened] - owner, pa.int32())),
+                pa.ListArray.from_arrays(offsets, words),
+            ],
+            names=["ids", "at", "words"],
+        )
+
+
 _OPEN = "struct<ids:binary,at:array<int>,words:array<string>>"
 
 
@@ -364,14 +521,8 @@ def _look_up(remembered, path: str):
     def look_up(texts: pa.Array) -> pa.Array:
         kept = worker_cache("rank_lookup")
         if kept.get("key") != key:
-            kept.update(key=key, lookup=_Lookup(Remembered(*remembered.value), _ranks(path)))
-        rows = [kept["lookup"].known_and_open(text) for text in texts.to_pylist()]
-        columns = zip(*rows, strict=True) if rows else ([], [], [])
-        kinds = (pa.binary(), pa.list_(pa.int32()), pa.list_(pa.string()))
-        return pa.StructArray.from_arrays(
-            [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)],
-            names=["ids", "at", "words"],
-        )
+            kept.update(key=key, lookup=_Batches(Remembered(*remembered.value), path))
+        return kept["lookup"].known_and_open(texts)
 
     # So marked, it stays a step of its own: the optimizer does not take it into the fold.
     return look_up.asNondeterministic()
@@ -430,12 +581,21 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def joined(ids: pa.Array) -> pa.Array:
         kept = worker_cache("rank_pieces")
         if path not in kept:
-            kept[path] = {rank: piece for piece, rank in _ranks(path).items()}.__getitem__
-        out = [
-            None if raw is None else b"".join(map(kept[path], np.frombuffer(raw, "<u4").tolist()))
-            for raw in ids.to_pylist()
-        ]
-        return pa.array(out, pa.binary())
+            ranks = _ranks(path)
+            places = np.full(max(ranks.values()) + 1, -1, np.int64)
+            places[list(ranks.values())] = np.arange(len(ranks))
+            kept[path] = pa.array(list(ranks), pa.binary()), places
+        pieces, places = kept[path]
+        lengths = pc.binary_length(ids).fill_null(0).to_numpy(zero_copy_only=False) // 4
+        numbers = np.frombuffer(b"".join(raw for raw in ids.to_pylist() if raw), "<u4")
+        if (places[numbers] < 0).any():
+            raise KeyError("ids that name no piece")
+        bytes_of = pieces.take(pa.array(places[numbers]))
+        ends = np.concatenate(([0], np.cumsum(pc.binary_length(bytes_of).to_numpy(zero_copy_only=False))))
+        before = np.concatenate(([0], np.cumsum(lengths)))
+        values = b"".join(bytes_of.to_pylist()) if bytes_of.offset else bytes_of.buffers()[2]
+        out = _binary(np.diff(ends[before]), values or b"", pa.binary())
+        return pc.if_else(ids.is_valid(), out, None) if ids.null_count else out
 
     others = [F.col(f"`{name}`") for name in encoded.columns if name.lower() != "decoded"]
     return encoded.select(*others, joined("ids").alias("decoded"))

@@ -390,6 +390,28 @@ def test_remembered_words_are_found_by_hash_and_content():
     assert table.get("w7é".encode()) is None
 
 
+def test_a_batch_is_looked_up_like_its_texts_one_by_one():
+    path = q.tokenizer_file(q.RANKS)
+    table = remembered(["qzx", " vvkq", "q" * 300], [[1, 2], [3], [4, 5]])
+    one, batch = rank_fold._Lookup(table, rank_fold.read_ranks(path)), rank_fold._Batches(table, path)
+    signs = "etaoinqzxvkéñZ \n.,!?'s1\t 2—☃𝒳\x00\u3000\xa0\x1c\r×÷ÀƺΑ"
+    for turn in range(150):
+        letters = signs[: RNG.randint(12, len(signs))]
+        texts = ["".join(RNG.choice(letters) for _ in range(RNG.randint(0, 60))) for _ in range(RNG.randint(0, 20))]
+        texts += ["", " ", "\n", " vvkq vvkq. qzx", "q" * 300] * (turn % 3)
+        found = batch.known_and_open(pa.array(texts, pa.string()).slice(turn % 2)).to_pylist()
+        assert [(row["ids"], row["at"], row["words"]) for row in found] == list(map(one.known_and_open, texts[turn % 2 :]))
+
+
+def test_a_part_is_looked_up_once_for_a_batch(monkeypatch):
+    """Looking up each text by itself took most of the time in Python."""
+    path, met = q.tokenizer_file(q.RANKS), []
+    batch = rank_fold._Batches(remembered([], []), path)
+    monkeypatch.setattr(batch, "known", lambda words, known=batch.known: met.extend(words.to_pylist()) or known(words))
+    batch.known_and_open(pa.array(["so qzxv, so qzxv", "so qzxv"] * 50))
+    assert sorted(met) == [" qzxv", " so", ",", "so"]
+
+
 def test_a_word_of_a_million_characters():
     ranks = rank_fold.read_ranks(q.tokenizer_file(q.RANKS))
     word = "".join(RNG.choice("abcdefghij") for _ in range(1_000_000))
