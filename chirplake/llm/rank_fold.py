@@ -40,7 +40,7 @@ from chirplake.llm.common import checkpoint, free_name, whole_text, worker_cache
 from chirplake.llm.encoders import _AFTER_LETTERS, ByteEncoder, is_letters, trailing_marks
 
 # Words folded once and sent to the tasks, at most: some 40 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 # Chunks a task keeps in mind: between two reports of its counts, and with their ids.
 COUNTED_CHUNKS, MEMORY_CHUNKS, LONGEST_CHUNK = 100_000, 100_000, 48
 # The fold takes time by the square of a word's bytes; longer words are merged by a heap.
@@ -363,19 +363,27 @@ class Remembered:
 
 def flat_words(words: pa.Array, ids: pa.Array) -> tuple[array, array, bytes, array, bytes]:
     """Words and the ids of each as the arrays of ``Remembered``, plain values that any process can read."""
-    hashes = np.array([xxhash.xxh64_intdigest(word) for word in words.to_pylist()], np.uint64)
+    hashes = np.zeros(len(words), np.uint64)
+    for at in range(0, len(words), 100_000):  # as objects of Python they take several times the room
+        some = words.slice(at, 100_000).to_pylist()
+        hashes[at : at + len(some)] = np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64, len(some))
     order = pa.array(np.argsort(hashes, kind="stable"))
-    words, ids = words.take(order).cast(pa.binary()), ids.take(order)
+    words, ids = words.cast(pa.binary()).take(order), ids.take(order)
     numbers = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes()
     flat_hashes = array("Q", hashes[order.to_numpy()].tobytes())
-    return flat_hashes, _ends(pc.binary_length(words)), b"".join(words.to_pylist()), _ends(pc.list_value_length(ids), 4), numbers
+    return flat_hashes, _ends(pc.binary_length(words)), _joined(words), _ends(pc.list_value_length(ids), 4), numbers
 
 
 def _ends(lengths: pa.Array, width: int = 1) -> array:
     """Where each part begins and the last one ends."""
-    ends = np.zeros(len(lengths) + 1, np.uint64)
+    ends = np.zeros(len(lengths) + 1, np.uint32)
     np.cumsum(lengths.to_numpy(zero_copy_only=False) * width, out=ends[1:])
-    return array("Q", ends.tobytes())
+    return array("I", ends.tobytes())
+
+
+def _joined(parts: pa.Array) -> bytes:
+    whole = pa.ListArray.from_arrays(pa.array([0, len(parts)], pa.int32()), parts)
+    return pc.binary_join(whole, b"")[0].as_py()
 
 
 class _Lookup(dict):
@@ -431,7 +439,7 @@ def _binary(lengths: np.ndarray, values: bytes | np.ndarray, kind: pa.DataType)
 
 
 def _binary_of(ends: array, values: bytes) -> pa.Array:
-    return _binary(np.diff(np.frombuffer(ends, np.uint64).astype(np.int64)), values, pa.binary())
+    return _binary(np.diff(np.frombuffer(ends, np.uint32)), values, pa.binary())
 
 
 class _Batches:
